@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from usagelake.operators import app, device, population, sampling, user
 from usagelake.operators.model import Usage, explode_sessions, nest_reports
 from usagelake.sources.fixture import table, usage_sessions
+from usagelake.sources.reports import decode_status_counts, reports_decode, reports_encode
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,6 +49,32 @@ def sessions_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
         "end_time", "version", "kind")
 
 
+def fixture_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fixture as report JSON lines -> ``report_id, ingest_seq, value``."""
+    reports = nest_reports(usage_sessions(spark, sf_dir))
+    return reports_encode(reports.select("*")).join(
+        reports.select("report_id", "ingest_seq"), "report_id")
+
+
+def q_reports_encode(spark, d):
+    return reports_encode(nest_reports(usage_sessions(spark, d)))
+
+
+def q_reports_decode(spark, d):
+    """Encode the fixture, decode it strictly, report grain of what came back."""
+    lines = fixture_lines(spark, d)
+    reports = reports_decode(lines, report_id=F.col("report_id"), ingest_seq=F.col("ingest_seq"))
+    facts = Usage.from_reports(reports).facts
+    return facts.drop("ingest_seq")
+
+
+def q_decode_status(spark, d):
+    """Status counts over fixture reports plus ``events.props`` texts (not reports)."""
+    lines = fixture_lines(spark, d).select("value").unionByName(
+        table(spark, d, "events").select(F.col("props").alias("value")))
+    return decode_status_counts(lines)
+
+
 def wifi_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return population.conditional_share(usage(spark, sf_dir).facts, F.col("net_status") == "wifi")
 
@@ -127,6 +154,9 @@ QUERIES: dict[str, Query] = {
     "group_hour_profile": _s(population.group_hour_profile),
     "conditional_share": wifi_share,
     "sessions_explode": sessions_explode,
+    "reports_encode": q_reports_encode,
+    "reports_decode": q_reports_decode,
+    "decode_status_counts": q_decode_status,
     "weight_rollup": q_weight_rollup,
     "weight_cumulative": q_weight_cumulative,
     "weighted_draw": q_weighted_draw,

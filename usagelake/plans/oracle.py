@@ -140,6 +140,25 @@ BODIES = {
     "conditional_share": """
       SELECT CAST(count(*) FILTER (WHERE net_status = 'wifi') AS BIGINT) AS hits,
              CAST(count(*) AS BIGINT) AS total FROM facts""",
+    "reports_encode": """
+      SELECT report_id, CAST(to_json(struct_pack(
+               user_id := user_id, province := province, city := city, date := date,
+               apps := apps, brand := brand, model := model, language := language,
+               system_version := system_version, resolution := resolution,
+               net_status := net_status, ISP := isp)) AS VARCHAR) AS value
+      FROM (SELECT report_id, user_id, province, city, date, brand, model, language,
+                   system_version, resolution, net_status, isp,
+                   list(struct_pack(package_name := package_name, beginTime := begin_time,
+                                    endTime := end_time, version := version, kind := kind)
+                        ORDER BY session_seq) AS apps
+            FROM sessions GROUP BY ALL)""",
+    "reports_decode": """
+      SELECT report_id, user_id, province, city, date, brand, model, language, system_version,
+             resolution, net_status, isp, sessions, duration_ms FROM facts""",
+    "decode_status_counts": """
+      SELECT status, CAST(count(*) AS BIGINT) AS lines FROM (
+        SELECT 1 AS status FROM facts UNION ALL
+        SELECT CASE WHEN json_valid(props) THEN 0 ELSE -1 END FROM events) GROUP BY status""",
     "sessions_explode": """
       SELECT report_id, user_id, date,
              CAST(row_number() OVER (PARTITION BY report_id ORDER BY session_seq) - 1 AS BIGINT)
