@@ -22,12 +22,13 @@ def last_reports(facts: DataFrame) -> DataFrame:
 
     ``max_by`` is an ordinary aggregate (partial then final), so a user-day
     with many reports is folded map-side.
-    -> ``user_id, date, report_id, sessions, duration_ms``.
+    -> ``user_id, date, report_id, ingest_seq, sessions, duration_ms``.
     """
-    last = F.max_by(F.struct("report_id", "sessions", "duration_ms"),
+    last = F.max_by(F.struct("report_id", "ingest_seq", "sessions", "duration_ms"),
                     F.struct("ingest_seq", "report_id"))
     return (facts.groupBy("user_id", "date").agg(last.alias("last"))
-            .select("user_id", "date", "last.report_id", "last.sessions", "last.duration_ms"))
+            .select("user_id", "date", "last.report_id", "last.ingest_seq", "last.sessions",
+                    "last.duration_ms"))
 
 
 def _last_sessions(sessions: DataFrame, facts: DataFrame) -> DataFrame:
@@ -58,13 +59,15 @@ def user_day_app_duration(sessions: DataFrame, facts: DataFrame) -> DataFrame:
         "user_id", "date", "package_name", "duration_ms")
 
 
-def _with_text(last: DataFrame, texts: DataFrame, name: str) -> DataFrame:
+def _with_text(last: DataFrame, texts: DataFrame, name: str, with_seq: bool = False) -> DataFrame:
     # Reports without sessions render as the empty string.
-    return (last.select("user_id", "date", "report_id").join(texts, "report_id", "left")
-            .select("user_id", "date", F.coalesce(F.col(name), F.lit("")).alias(name)))
+    extra = ["ingest_seq"] if with_seq else []
+    return (last.select("user_id", "date", "report_id", *extra).join(texts, "report_id", "left")
+            .select("user_id", "date", *extra, F.coalesce(F.col(name), F.lit("")).alias(name)))
 
 
-def user_day_app_duration_text(sessions: DataFrame, facts: DataFrame) -> DataFrame:
+def user_day_app_duration_text(sessions: DataFrame, facts: DataFrame,
+                               with_seq: bool = False) -> DataFrame:
     """``pkg:ms,pkg:ms`` of the last report, packages sorted -> ``user_id, date, usage_text``."""
     per = sessions.groupBy("report_id", "package_name").agg(
         F.sum(session_ms()).cast("bigint").alias("ms"))
@@ -73,7 +76,7 @@ def user_day_app_duration_text(sessions: DataFrame, facts: DataFrame) -> DataFra
     texts = per.groupBy("report_id").agg(F.array_join(F.transform(
         F.sort_array(F.collect_list(F.struct("package_name", "ms"))),
         lambda x: pair_text(x["package_name"], x["ms"])), ",").alias("usage_text"))
-    return _with_text(last, texts, "usage_text")
+    return _with_text(last, texts, "usage_text", with_seq)
 
 
 def user_day_history(sessions: DataFrame, facts: DataFrame) -> DataFrame:
@@ -85,7 +88,8 @@ def user_day_history(sessions: DataFrame, facts: DataFrame) -> DataFrame:
         "user_id", "date", "session_seq", "package_name", "begin_time")
 
 
-def user_day_history_text(sessions: DataFrame, facts: DataFrame) -> DataFrame:
+def user_day_history_text(sessions: DataFrame, facts: DataFrame,
+                          with_seq: bool = False) -> DataFrame:
     """``pkg:begin,pkg:begin`` of the last report in session order.
 
     -> ``user_id, date, history_text``.  The text of one report holds that
@@ -96,4 +100,4 @@ def user_day_history_text(sessions: DataFrame, facts: DataFrame) -> DataFrame:
     texts = rows.groupBy("report_id").agg(F.array_join(F.transform(
         F.sort_array(F.collect_list(F.struct("session_seq", "package_name", "begin_time"))),
         lambda x: pair_text(x["package_name"], x["begin_time"])), ",").alias("history_text"))
-    return _with_text(last, texts, "history_text")
+    return _with_text(last, texts, "history_text", with_seq)

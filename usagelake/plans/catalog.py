@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from usagelake.operators import app, device, population, sampling, user
 from usagelake.operators.model import Usage, explode_sessions, nest_reports
 from usagelake.sources.fixture import table, usage_sessions
+from usagelake.streaming import cells
+from usagelake.streaming.pipeline import metric_deltas
 from usagelake.sources.reports import decode_status_counts, reports_decode, reports_encode
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +77,33 @@ def q_decode_status(spark, d):
     return decode_status_counts(lines)
 
 
+def two_batch_deltas(spark: SparkSession, sf_dir: str, law: str) -> DataFrame:
+    """Deltas of the fixture written as two stream batches.
+
+    Batch 0 holds the slot-0 reports and batch 1 the slot-1 reports, so a
+    user-day with two reports is overwritten across batches.
+    """
+    s = usage_sessions(spark, sf_dir)
+    out = None
+    for b in (0, 1):
+        part = Usage.from_sessions(s.filter(F.col("ingest_seq") == b))
+        d = metric_deltas(part, laws=(law,)).withColumn("epoch", F.lit(2 * b).cast("bigint"))
+        out = d if out is None else out.unionByName(d)
+    return out
+
+
+def q_merge_sum(spark, d):
+    return cells.merge_sum(two_batch_deltas(spark, d, cells.SUM), admin=False)
+
+
+def q_merge_union(spark, d):
+    return cells.merge_union(two_batch_deltas(spark, d, cells.UNION), admin=False)
+
+
+def q_merge_last(spark, d):
+    return cells.merge_last(two_batch_deltas(spark, d, cells.LAST), admin=False)
+
+
 def wifi_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return population.conditional_share(usage(spark, sf_dir).facts, F.col("net_status") == "wifi")
 
@@ -157,6 +186,9 @@ QUERIES: dict[str, Query] = {
     "reports_encode": q_reports_encode,
     "reports_decode": q_reports_decode,
     "decode_status_counts": q_decode_status,
+    "merge_sum": q_merge_sum,
+    "merge_union": q_merge_union,
+    "merge_last": q_merge_last,
     "weight_rollup": q_weight_rollup,
     "weight_cumulative": q_weight_cumulative,
     "weighted_draw": q_weighted_draw,

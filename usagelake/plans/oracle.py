@@ -168,6 +168,50 @@ BODIES = {
 }
 
 
+def _cells_sum() -> str:
+    ses = [
+        ("'SINGLE_APP'", "package_name", "'click_num'", "date", "count(*)"),
+        ("'APP_VERSION'", "package_name || '_' || version", "'click_num'", "date", "count(*)"),
+        ("'SINGLE_APP'", "package_name", "'duration'", "date", f"sum({SECS})"),
+        ("'SINGLE_APP'", "package_name", "'day_period'", f"CAST({HOUR} AS VARCHAR)", "count(*)"),
+        ("'SINGLE_APP'", "package_name", "'week_period'", f"CAST({WEEK} AS VARCHAR)", "count(*)"),
+        ("'USER'", "user_id", "'hobby'", "kind", "count(*)"),
+        ("'USER_GROUP'", "date", "'hobby'", "kind", "count(*)"),
+        ("'USER_GROUP'", "date", "'period'", f"CAST({HOUR} AS VARCHAR)", "count(*)"),
+    ]
+    rep = [("'AIV'", "date", f"'{fam}'", col, "count(*)") for col, fam in (
+        ("brand", "brand"), ("model", "model"), ("system_version", "system_version"),
+        ("resolution", "resolution"), ("net_status", "net_status"), ("isp", "ISP"))]
+    rep += [("'USER_GROUP'", "date", "'location'", "province", "count(*)"),
+            ("'USER_GROUP'", "date", "'usage'", bucket("duration_ms"), "count(*)")]
+    parts = [f"SELECT {t}, {r}, {f}, {q}, {v} FROM sessions GROUP BY 1, 2, 3, 4" for t, r, f, q, v in ses]
+    parts += [f"SELECT {t}, {r}, {f}, {q}, {v} FROM facts GROUP BY 1, 2, 3, 4" for t, r, f, q, v in rep]
+    parts.append(f"""SELECT 'APP_USAGE', package_name, {bucket('secs')}, date, count(*)
+        FROM (SELECT report_id, date, package_name, sum({SECS}) AS secs
+              FROM sessions GROUP BY report_id, date, package_name) GROUP BY 1, 2, 3, 4""")
+    body = "\n      UNION ALL ".join(parts)
+    return f"""
+      SELECT tbl, row_key, family, qualifier, CAST(value AS BIGINT) AS value FROM (
+        SELECT NULL::VARCHAR AS tbl, NULL::VARCHAR AS row_key, NULL::VARCHAR AS family,
+               NULL::VARCHAR AS qualifier, NULL::HUGEINT AS value WHERE false
+        UNION ALL {body})"""
+
+
+BODIES["merge_sum"] = _cells_sum()
+BODIES["merge_union"] = """
+      SELECT DISTINCT 'SINGLE_APP' AS tbl, package_name AS row_key, 'user' AS family,
+             date AS qualifier, user_id AS member FROM sessions"""
+BODIES["merge_last"] = f"""
+      SELECT DISTINCT 'SINGLE_APP' AS tbl, package_name AS row_key, 'version' AS family,
+             version AS qualifier, version AS value FROM sessions
+      UNION ALL SELECT 'USER', user_id, 'usage_duration', date, CAST(duration_ms AS VARCHAR) FROM last
+      UNION ALL SELECT 'USER', user_id, 'usage_times', date, CAST(sessions AS VARCHAR) FROM last
+      UNION ALL SELECT 'USER', user_id, 'usage_statistics', date, usage_text FROM (
+        {BODIES['user_day_app_duration_text']})
+      UNION ALL SELECT 'USER', user_id, 'usage_history', date, history_text FROM (
+        {BODIES['user_day_history_text']})"""
+
+
 def sql_for(key: str) -> str:
     body = BODIES[key].strip()
     if body.startswith(","):
