@@ -30,28 +30,30 @@ APPS_TYPE = ("array<struct<package_name:string,beginTime:bigint,endTime:bigint,"
              "version:string,kind:string>>")
 
 
-def _kind(v: Column, path: str) -> Column:
-    return F.coalesce(F.schema_of_variant(F.try_variant_get(v, path, "variant")), F.lit(""))
+def _kind_sql(v: str, path: str) -> str:
+    return f"coalesce(schema_of_variant(try_variant_get({v}, '{path}', 'variant')), '')"
 
 
-def decode_status(v: Column) -> Column:
-    """1 / 0 / -1 for a parsed Variant ``v`` (NULL when the text did not parse)."""
-    ok = F.lit(True)
-    for f in REPORT_STRING_FIELDS:
-        ok = ok & (_kind(v, f"$.{f}") == "STRING")
-    ok = ok & _kind(v, "$.apps").startswith("ARRAY<")
+def decode_status_sql(v: str) -> str:
+    """SQL text of the status of a parsed Variant column ``v``.
+
+    Built as one SQL expression so the JVM parses it in a single call.
+    """
+    top = [f"{_kind_sql(v, '$.' + f)} = 'STRING'" for f in REPORT_STRING_FIELDS]
+    top.append(f"{_kind_sql(v, '$.apps')} LIKE 'ARRAY<%'")
+    per_app = [f"{_kind_sql('a', '$.' + f)} = 'STRING'" for f in APP_STRING_FIELDS]
+    per_app += [f"{_kind_sql('a', '$.' + f)} = 'BIGINT'" for f in APP_LONG_FIELDS]
+    apps = (f"coalesce(forall(try_variant_get({v}, '$.apps', 'array<variant>'), "
+            f"a -> {' AND '.join(per_app)}), false)")
+    ok = " AND ".join(top + [apps])
+    return f"CASE WHEN {v} IS NULL THEN -1 WHEN {ok} THEN 1 ELSE 0 END"
 
-    def app_ok(a: Column) -> Column:
-        c = F.lit(True)
-        for f in APP_STRING_FIELDS:
-            c = c & (_kind(a, f"$.{f}") == "STRING")
-        for f in APP_LONG_FIELDS:
-            c = c & (_kind(a, f"$.{f}") == "BIGINT")
-        return c
 
-    apps = F.try_variant_get(v, "$.apps", "array<variant>")
-    ok = ok & F.coalesce(F.forall(apps, app_ok), F.lit(False))
-    return F.when(v.isNull(), -1).when(ok, 1).otherwise(0)
+def decode_status(v: Column | str) -> Column:
+    """1 / 0 / -1 for a parsed Variant column (NULL when the text did not parse)."""
+    if isinstance(v, Column):
+        raise TypeError("pass the Variant column by name")
+    return F.expr(decode_status_sql(v))
 
 
 def decode_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
@@ -61,7 +63,7 @@ def decode_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """
     keep = [c for c in lines.columns if c != value_col]
     parsed = lines.select(*keep, value_col, F.try_parse_json(F.col(value_col)).alias("_v"))
-    with_status = parsed.withColumn("status", decode_status(F.col("_v")))
+    with_status = parsed.withColumn("status", decode_status("_v"))
     good = F.col("status") == 1
     fields = [F.when(good, F.variant_get("_v", f"$.{f}", "string")).alias(f.lower())
               for f in REPORT_STRING_FIELDS]
@@ -89,7 +91,8 @@ def reports_decode(lines: DataFrame, value_col: str = "value",
 
 def decode_status_counts(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """Lines per status -> ``status, lines``."""
-    return (lines.select(decode_status(F.try_parse_json(F.col(value_col))).alias("status"))
+    parsed = lines.select(F.try_parse_json(F.col(value_col)).alias("_v"))
+    return (parsed.select(decode_status("_v").alias("status"))
             .groupBy("status").agg(F.count("*").alias("lines")))
 
 

@@ -267,7 +267,9 @@ class CellStore:
 
     def write_batch(self, deltas: DataFrame, batch_id: int) -> None:
         """Write one stream batch; re-running the same batch replaces its rows."""
-        out = as_deltas(deltas, epoch=2 * batch_id).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        # The writer owns the order: every row of batch n sorts after batch n-1.
+        out = (as_deltas(deltas).withColumn("epoch", F.lit(2 * batch_id).cast("bigint"))
+               .withColumn("batch_id", F.lit(batch_id).cast("bigint")))
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("tbl", "batch_id").parquet(self.delta_path))
 

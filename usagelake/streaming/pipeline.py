@@ -136,21 +136,31 @@ def metric_deltas(usage: Usage, tz: str = "UTC", bucket_unit: str = "ms",
 def process_batch(store: CellStore, lines: DataFrame, batch_id: int, tz: str = "UTC",
                   bucket_unit: str = "ms", quarantine: str | None = None,
                   value_col: str = "value") -> None:
-    """Decode one batch of lines and write its deltas as batch ``batch_id``."""
+    """Decode one batch of lines and write its deltas as batch ``batch_id``.
+
+    The decoded batch is first written to ``<store>/staging/batch_id=<n>``
+    (dynamic overwrite, so a retried batch replaces it) and read back.  That
+    cuts the lineage: a lost executor re-reads staged Parquet instead of the
+    source, the ingest order (``monotonically_increasing_id``) is fixed once,
+    and every metric plans against a plain scan.  Lines that did not decode
+    keep their text there and are copied to ``quarantine``.
+    """
     decoded = decode_lines(lines, value_col)
-    decoded = decoded.withColumn("ingest_seq", F.monotonically_increasing_id())
-    decoded = decoded.withColumn("report_id", F.concat_ws(":", F.lit(str(batch_id)),
-                                                          F.col("ingest_seq").cast("string")))
-    decoded = decoded.persist()
-    try:
-        reports = decoded.filter(F.col("status") == 1).drop(value_col, "status")
-        store.write_batch(metric_deltas(Usage.from_reports(reports), tz, bucket_unit), batch_id)
-        if quarantine:
-            bad = decoded.filter(F.col("status") < 1).select("status", value_col)
-            (bad.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(quarantine))
-    finally:
-        decoded.unpersist()
+    seq = F.monotonically_increasing_id()
+    staged = decoded.select(
+        "*", seq.alias("ingest_seq")).withColumn(
+        "report_id", F.concat_ws(":", F.lit(str(batch_id)), F.col("ingest_seq").cast("string"))
+    ).withColumn(value_col, F.when(F.col("status") < 1, F.col(value_col)))
+    staging = store.root + "/staging"
+    (staged.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(staging))
+    back = store.spark.read.parquet(staging).filter(F.col("batch_id") == batch_id).drop("batch_id")
+    reports = back.filter(F.col("status") == 1).drop(value_col, "status")
+    store.write_batch(metric_deltas(Usage.from_reports(reports), tz, bucket_unit), batch_id)
+    if quarantine:
+        bad = back.filter(F.col("status") < 1).select("status", value_col)
+        (bad.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(quarantine))
 
 
 def start_stream(spark: SparkSession, lines: DataFrame, store: CellStore, checkpoint: str,
