@@ -98,3 +98,16 @@ def test_replayed_batch_is_idempotent(spark, scratch):
     st.write_batch(d, 0)  # a retried batch
     again = st.scan("SINGLE_APP").collect()
     assert sorted(map(tuple, first)) == sorted(map(tuple, again))
+
+
+def test_fused_report_path_equals_long_path(spark):
+    from usagelake.operators.model import nest_reports
+    from usagelake.streaming.pipeline import report_deltas
+    s = usage_sessions(spark, SF_SMALL)
+    reports = nest_reports(s)
+    for law, fn in ((cells.SUM, cells.merge_sum), (cells.UNION, cells.merge_union),
+                    (cells.LAST, cells.merge_last)):
+        a = fn(report_deltas(reports, laws=(law,)), admin=False)
+        b = fn(metric_deltas(Usage.from_sessions(s), laws=(law,)), admin=False)
+        assert a.count() > 0
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, law

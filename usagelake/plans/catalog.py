@@ -14,7 +14,7 @@ from usagelake.operators import app, device, population, sampling, user
 from usagelake.operators.model import Usage, explode_sessions, nest_reports
 from usagelake.sources.fixture import table, usage_sessions
 from usagelake.streaming import cells
-from usagelake.streaming.pipeline import metric_deltas
+from usagelake.streaming.pipeline import report_deltas
 from usagelake.sources.reports import decode_status_counts, reports_decode, reports_encode
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,13 +81,15 @@ def two_batch_deltas(spark: SparkSession, sf_dir: str, law: str) -> DataFrame:
     """Deltas of the fixture written as two stream batches.
 
     Batch 0 holds the slot-0 reports and batch 1 the slot-1 reports, so a
-    user-day with two reports is overwritten across batches.
+    user-day with two reports is overwritten across batches.  The batches
+    go through the same fused code as the stream (``report_deltas`` over
+    nested report documents).
     """
     s = usage_sessions(spark, sf_dir)
     out = None
     for b in (0, 1):
-        part = Usage.from_sessions(s.filter(F.col("ingest_seq") == b))
-        d = metric_deltas(part, laws=(law,)).withColumn("epoch", F.lit(2 * b).cast("bigint"))
+        reports = nest_reports(s.filter(F.col("ingest_seq") == b))
+        d = report_deltas(reports, laws=(law,)).withColumn("epoch", F.lit(2 * b).cast("bigint"))
         out = d if out is None else out.unionByName(d)
     return out
 
