@@ -82,3 +82,14 @@ def test_users_text_pages_cover_all_users(spark):
     assert len(pages) == 3
     members = [m for p in pages for m in p["users_text"].split(",")]
     assert sorted(members) == [f"u{i:03d}" for i in range(250)]
+
+
+def test_history_pages_concatenate_to_whole_text(spark):
+    apps = [(f"com.p{i % 3}", BASE_MS + i, BASE_MS + i + 10, "1.0", "k") for i in range(7)]
+    u = Usage.from_reports(reports_df(spark, [report("r1", 0, "u1", "d1", apps)]))
+    whole = user.user_day_history_text(u.sessions, u.facts).first()["history_text"]
+    pages = sorted((r["page"], r["history_text"])
+                   for r in user.user_day_history_text(u.sessions, u.facts, page_size=3).collect())
+    assert [p for p, _ in pages] == [0, 1, 2]
+    assert ",".join(t for _, t in pages) == whole
+    assert whole.count(",") == 6

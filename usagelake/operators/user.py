@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from usagelake.functions.expressions import pair_text, session_ms
+from usagelake.functions.expressions import int_div, pair_text, session_ms
 
 
 def user_interest(sessions: DataFrame) -> DataFrame:
@@ -88,16 +88,24 @@ def user_day_history(sessions: DataFrame, facts: DataFrame) -> DataFrame:
         "user_id", "date", "session_seq", "package_name", "begin_time")
 
 
-def user_day_history_text(sessions: DataFrame, facts: DataFrame,
-                          with_seq: bool = False) -> DataFrame:
-    """``pkg:begin,pkg:begin`` of the last report in session order.
+def user_day_history_text(sessions: DataFrame, facts: DataFrame, with_seq: bool = False,
+                          page_size: int = 100_000) -> DataFrame:
+    """``pkg:begin,pkg:begin`` of the last report in session order, in pages.
 
-    -> ``user_id, date, history_text``.  The text of one report holds that
-    report's sessions (one phone's day), the same size as the input document.
+    Page ``p`` holds the sessions with ``session_seq div page_size = p``;
+    ``session_seq`` is unique within a report, so no text or aggregation
+    buffer exceeds ``page_size`` sessions however large a report is.  The
+    pages of a report in page order concatenate (with ",") to the whole
+    history.  A report without sessions gives page 0 with "".
+    -> ``user_id, date, page, history_text``.
     """
     last = last_reports(facts)
     rows = sessions.join(last.select("report_id"), "report_id", "left_semi")
-    texts = rows.groupBy("report_id").agg(F.array_join(F.transform(
+    page = int_div("session_seq", page_size).alias("page")
+    texts = rows.groupBy("report_id", page).agg(F.array_join(F.transform(
         F.sort_array(F.collect_list(F.struct("session_seq", "package_name", "begin_time"))),
         lambda x: pair_text(x["package_name"], x["begin_time"])), ",").alias("history_text"))
-    return _with_text(last, texts, "history_text", with_seq)
+    extra = ["ingest_seq"] if with_seq else []
+    return (last.select("user_id", "date", "report_id", *extra).join(texts, "report_id", "left")
+            .select("user_id", "date", *extra, F.coalesce(F.col("page"), F.lit(0)).cast("bigint").alias("page"),
+                    F.coalesce(F.col("history_text"), F.lit("")).alias("history_text")))

@@ -125,11 +125,11 @@ BODIES = {
       SELECT s.user_id, s.date, s.session_seq, s.package_name, s.begin_time
       FROM sessions s JOIN last l ON s.report_id = l.report_id""",
     "user_day_history_text": """
-      SELECT l.user_id, l.date,
+      SELECT l.user_id, l.date, CAST(coalesce(s.session_seq // 100000, 0) AS BIGINT) AS page,
              coalesce(string_agg(s.package_name || ':' || CAST(s.begin_time AS VARCHAR), ','
                                  ORDER BY s.session_seq), '') AS history_text
       FROM last l LEFT JOIN sessions s ON s.report_id = l.report_id
-      GROUP BY l.user_id, l.date""",
+      GROUP BY l.user_id, l.date, 3""",
     "group_interest": "SELECT date, kind, CAST(count(*) AS BIGINT) AS n FROM sessions GROUP BY ALL",
     "group_province": "SELECT date, province, CAST(count(*) AS BIGINT) AS n FROM facts GROUP BY ALL",
     "group_usage_bucket": f"""
@@ -208,8 +208,10 @@ BODIES["merge_last"] = f"""
       UNION ALL SELECT 'USER', user_id, 'usage_times', date, CAST(sessions AS VARCHAR) FROM last
       UNION ALL SELECT 'USER', user_id, 'usage_statistics', date, usage_text FROM (
         {BODIES['user_day_app_duration_text']})
-      UNION ALL SELECT 'USER', user_id, 'usage_history', date, history_text FROM (
-        {BODIES['user_day_history_text']})"""
+      UNION ALL SELECT 'USER', l.user_id, 'usage_history', l.date,
+             coalesce(string_agg(s.package_name || ':' || CAST(s.begin_time AS VARCHAR), ','
+                                 ORDER BY s.session_seq), '')
+      FROM last l LEFT JOIN sessions s ON s.report_id = l.report_id GROUP BY l.user_id, l.date"""
 
 
 def sql_for(key: str) -> str:

@@ -103,8 +103,10 @@ def last_deltas(usage: Usage) -> DataFrame:
         user_cell(last, "usage_times", F.col("sessions")),
         user_cell(user.user_day_app_duration_text(s, f, with_seq=True), "usage_statistics",
                   F.col("usage_text")),
-        user_cell(user.user_day_history_text(s, f, with_seq=True), "usage_history",
-                  F.col("history_text")),
+        # A LAST cell holds one report's whole history, as the stream path
+        # renders it per document; one page spans the report.
+        user_cell(user.user_day_history_text(s, f, with_seq=True, page_size=2 ** 62),
+                  "usage_history", F.col("history_text")),
     ]
     out = parts[0]
     for p in parts[1:]:
