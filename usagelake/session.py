@@ -20,6 +20,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoint files of DataFrames that are no longer referenced are removed
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -66,3 +68,18 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         spark.sparkContext.setCheckpointDir(root)
     path = os.path.join(root, name) if "://" not in root else root.rstrip("/") + "/" + name
     return path
+
+
+def reusable(df):
+    """Materialise ``df`` once for a plan that reads it several times.
+
+    A reliable checkpoint to the shared checkpoint folder: later passes scan
+    the written copy instead of recomputing the lineage (for the usage
+    fixture, the scan of the fact table and its join), and a lost executor
+    re-reads the files rather than recomputing.
+    """
+    spark = df.sparkSession
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(shared_dir(spark, "usagelake-checkpoints"))
+    return df.checkpoint(eager=True)

@@ -96,16 +96,14 @@ def decode_status_counts(lines: DataFrame, value_col: str = "value") -> DataFram
             .groupBy("status").agg(F.count("*").alias("lines")))
 
 
-def reports_encode(reports: DataFrame) -> DataFrame:
-    """Nested reports -> one JSON text per report (``report_id, value``)."""
+def reports_encode(reports: DataFrame, keep=("report_id",)) -> DataFrame:
+    """Nested reports -> one JSON text per report (``value`` plus the ``keep`` columns)."""
     apps = F.transform("apps", lambda a: F.struct(
         a["package_name"].alias("package_name"), a["begin_time"].alias("beginTime"),
         a["end_time"].alias("endTime"), a["version"].alias("version"), a["kind"].alias("kind")))
     fields = [apps.alias("apps") if f == "apps" else F.col(f.lower()).alias(f) for f in WIRE_ORDER]
-    out = [F.to_json(F.struct(*fields)).alias("value")]
-    if "report_id" in reports.columns:
-        out.insert(0, F.col("report_id"))
-    return reports.select(*out)
+    kept = [c for c in keep if c in reports.columns]
+    return reports.select(*kept, F.to_json(F.struct(*fields)).alias("value"))
 
 
 # ---- line sources -------------------------------------------------------
