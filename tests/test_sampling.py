@@ -31,3 +31,10 @@ def test_zero_weights_never_drawn(spark):
     w = spark.createDataFrame([("a", 0), ("b", 2)], "k string, weight long")
     cum = sampling.weight_cumulative(w, "k")
     assert [r["k"] for r in cum.collect()] == ["b"]
+
+
+def test_empty_weights_draw_nothing(spark):
+    w = spark.createDataFrame([("a", 0)], "k string, weight long")
+    cum = sampling.weight_cumulative(w, "k")
+    draws = spark.range(0, 5).select(sampling.draw_position(F.col("id"), 0).alias("r"))
+    assert sampling.weighted_draw(draws, cum, "r", "k").count() == 0

@@ -21,7 +21,13 @@ SMALL_CATEGORIES = 200_000
 
 
 def draw_position(key, total: int, multiplier: int = 7919) -> Column:
-    """Deterministic draw in ``1..total`` from an integer key column."""
+    """Deterministic draw in ``1..total`` from an integer key column.
+
+    With ``total == 0`` (no positive weight) the position is NULL, which
+    matches no category.
+    """
+    if int(total) <= 0:
+        return F.lit(None).cast("bigint")
     k = F.col(key) if isinstance(key, str) else key
     return (F.pmod(k.cast("bigint") * F.lit(multiplier), F.lit(int(total))) + 1).cast("bigint")
 
@@ -98,6 +104,8 @@ def weighted_draw(draws: DataFrame, cum: DataFrame, draw_col: str, keys,
         total = total_weight(cum)
     if n_categories is None:
         n_categories = cum.count()
+    if n_categories == 0:
+        return draws.limit(0).select(*draws.columns, *[F.lit(None).alias(k) for k in keys])
     width = _bucket_width(total, n_categories)
     side = cum.select(*keys, "lo", "hi", F.explode(F.sequence(
         int_div("lo", width), int_div(F.col("hi") - 1, width))).alias("_b"))
