@@ -111,3 +111,39 @@ def test_fused_report_path_equals_long_path(spark):
         b = fn(metric_deltas(Usage.from_sessions(s), laws=(law,)), admin=False)
         assert a.count() > 0
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, law
+
+
+def _state(st):
+    out = set()
+    for t in ("AIV", "SINGLE_APP", "USER"):
+        out |= {(t, r["row_key"], r["family"], r["qualifier"], r["value"]) for r in st.scan(t).collect()}
+    return out
+
+
+def test_compaction_preserves_reads(spark, scratch):
+    st = CellStore(spark, os.path.join(scratch, "store"))
+    st.create_default_tables()
+    st.write_batch(_d(spark, [("AIV", "d1", "brand", "B1", 4, None, 0, 0),
+                              ("AIV", "d2", "brand", "B1", 1, None, 0, 0)]), 0)
+    st.write_batch(_d(spark, [("SINGLE_APP", "com.a", "user", "d1", None, "u1", 0, 0),
+                              ("USER", "u1", "usage_times", "d1", None, "3", 0, 5),
+                              ("AIV", "d1", "brand", "B1", 2, None, 0, 0)]), 1)
+    st.put("AIV", "d2", "brand", "B1", 10)
+    st.delete_row("USER", "u9")
+    st.write_batch(_d(spark, [("USER", "u1", "usage_times", "d1", None, "7", 0, 1),
+                              ("SINGLE_APP", "com.a", "user", "d1", None, "u2", 0, 0)]), 2)
+    before = _state(st)
+    assert ("AIV", "d1", "brand", "B1", "6") in before and ("AIV", "d2", "brand", "B1", "10") in before
+    assert ("USER", "u1", "usage_times", "d1", "7") in before
+    assert st.compact(upto=1) == 1
+    assert _state(st) == before
+    # later writes land on top of the snapshot
+    st.write_batch(_d(spark, [("AIV", "d1", "brand", "B1", 1, None, 0, 0)]), 3)
+    st.delete_row("AIV", "d2")
+    after = _state(st)
+    assert ("AIV", "d1", "brand", "B1", "7") in after
+    assert not any(r[1] == "d2" for r in after)
+    assert st.compact() == 3
+    st.purge(3)
+    assert _state(st) == after
+    assert st.last_batch() == 3

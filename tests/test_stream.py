@@ -44,9 +44,11 @@ def test_stream_equals_batch(spark, scratch):
     lines = read_report_lines(spark, os.path.join(scratch, "in", "f*"), stream=True,
                               max_files_per_trigger=1)
     q = start_stream(spark, lines, stream_store, os.path.join(scratch, "ckpt"),
-                     trigger={"availableNow": True}, quarantine=os.path.join(scratch, "q"))
+                     trigger={"availableNow": True}, quarantine=os.path.join(scratch, "q"),
+                     compact_every=2)
     q.awaitTermination(300)
     assert stream_store.last_batch() >= 2
+    assert stream_store.latest_snapshot() == 1  # compacted after the second batch
     # SUM and UNION families agree exactly
     assert _cells(stream_store) == _cells(batch_store)
     # the malformed line was quarantined

@@ -187,7 +187,8 @@ def merge_all(deltas: DataFrame, families: dict | None = None, admin=True) -> Da
 class CellStore:
     """Cell tables under one shared root folder.
 
-    Layout: ``meta/`` (declared families), ``deltas/tbl=/batch_id=/`` (log).
+    Layout: ``meta/`` (declared families), ``deltas/tbl=/batch_id=/`` (log),
+    ``snapshots/upto=N/`` (the log folded through batch N, see ``compact``).
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -195,6 +196,7 @@ class CellStore:
         self.root = root.rstrip("/")
         self.meta_path = self.root + "/meta"
         self.delta_path = self.root + "/deltas"
+        self.snap_path = self.root + "/snapshots"
 
     # -- file system helpers (Hadoop FS, so HDFS / object stores work too)
     def _fs(self, path: str):
@@ -210,6 +212,18 @@ class CellStore:
         fs, p = self._fs(path)
         return fs.delete(p, True) if fs.exists(p) else False
 
+    def _children(self, path: str) -> list[str]:
+        fs, p = self._fs(path)
+        if not fs.exists(p):
+            return []
+        return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+
+    def latest_snapshot(self) -> int | None:
+        """Largest N with a complete ``snapshots/upto=N`` (one that has ``_SUCCESS``)."""
+        done = [int(n.split("=", 1)[1]) for n in self._children(self.snap_path)
+                if n.startswith("upto=") and self._exists(f"{self.snap_path}/{n}/_SUCCESS")]
+        return max(done) if done else None
+
     # -- tables
     def create_table(self, name: str, families: dict) -> bool:
         """Declare a table with ``{family: law}``; returns False if it exists."""
@@ -258,12 +272,82 @@ class CellStore:
             d = d.filter(F.col("tbl") == tbl)  # partition pruning on tbl=
         return d
 
+    def log(self, tbl: str | None = None) -> DataFrame:
+        """The rows a reader folds: latest snapshot plus everything after it.
+
+        Without a snapshot this is the whole delta log.  With ``upto=N`` it is
+        the snapshot, stream batches after N, and administrative rows ordered
+        after batch N; partition pruning on ``batch_id`` skips the rest.
+        """
+        d = self.deltas(tbl)
+        n = self.latest_snapshot()
+        if n is None:
+            return d
+        snap = self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.snap_path}/upto={n}")
+        if tbl is not None:
+            snap = snap.filter(F.col("tbl") == tbl)
+        newer = d.filter((F.col("batch_id") > n) |
+                         ((F.col("batch_id") == -1) & (F.col("epoch") > 2 * n + 1)))
+        return snap.unionByName(newer)
+
+    def compact(self, upto: int | None = None) -> int:
+        """Fold the log through batch ``upto`` (default: the last batch) into a snapshot.
+
+        SUM cells become one row with the total, UNION cells one row per
+        member, LAST cells the winning row with its order; tombstones and
+        overwrites at or before the point are applied and dropped.  The
+        snapshot is written to ``snapshots/upto=N``; readers only use it once
+        its ``_SUCCESS`` marker exists, so a failed compaction changes nothing.
+        Returns N.  Old ``deltas`` partitions are left in place (readers skip
+        them); remove them with ``purge`` once no reader needs older points.
+        """
+        n = self.last_batch() if upto is None else int(upto)
+        prev = self.latest_snapshot()
+        if prev is not None and n < prev:
+            raise ValueError(f"a snapshot through batch {prev} already exists")
+        d = self.log().filter(((F.col("batch_id") >= 0) & (F.col("batch_id") <= n)) |
+                              ((F.col("batch_id") == -1) & (F.col("epoch") <= 2 * n + 1)))
+        live = live_rows(d.drop("batch_id"))
+        laws = law_table(self.spark, {**TABLE_FAMILIES, **self.families()})
+        x = live.join(F.broadcast(laws), ["tbl", "family"])
+        o = _order()
+        sums = (x.filter(F.col("law") == SUM).groupBy(*CELL)
+                .agg(F.sum("num").cast("bigint").alias("num"))
+                .select(*CELL, "num", F.lit(None).cast("string").alias("text"),
+                        F.lit(2 * n).cast("bigint").alias("epoch"), F.lit(0).cast("bigint").alias("seq")))
+        unions = (_union(x.filter(F.col("law") == UNION).drop("law"))
+                  .select(*CELL, F.lit(None).cast("bigint").alias("num"), F.col("member").alias("text"),
+                          F.lit(2 * n).cast("bigint").alias("epoch"), F.lit(0).cast("bigint").alias("seq")))
+        lasts = (x.filter(F.col("law") == LAST).groupBy(*CELL)
+                 .agg(F.max_by(F.struct("num", "text", "epoch", "seq"), o).alias("w"))
+                 .select(*CELL, "w.num", "w.text", "w.epoch", "w.seq"))
+        snap = (sums.unionByName(unions).unionByName(lasts)
+                .withColumn("op", F.lit("add")).withColumn("batch_id", F.lit(n).cast("bigint"))
+                .select(*[f.name for f in LOG_SCHEMA.fields]))
+        snap.write.mode("overwrite").parquet(f"{self.snap_path}/upto={n}")
+        return n
+
+    def purge(self, upto: int) -> None:
+        """Delete stream partitions folded into snapshot ``upto`` (requires it to exist)."""
+        if self.latest_snapshot() is None or self.latest_snapshot() < upto:
+            raise RuntimeError(f"no complete snapshot through batch {upto}")
+        for t in self._children(self.delta_path):
+            for b in self._children(f"{self.delta_path}/{t}"):
+                if b.startswith("batch_id=") and 0 <= int(b.split("=", 1)[1]) <= upto:
+                    self._delete(f"{self.delta_path}/{t}/{b}")
+
     def last_batch(self) -> int:
-        """Largest committed stream batch id, -1 when none."""
-        if not self._exists(self.delta_path):
-            return -1
-        v = self.deltas().filter(F.col("batch_id") >= 0).agg(F.max("batch_id")).first()[0]
-        return -1 if v is None else int(v)
+        """Largest committed stream batch id, -1 when none.
+
+        Read from the partition folders (a listing, no scan) and the latest
+        snapshot, so it stays right after ``purge``.
+        """
+        ids = [-1]
+        for t in self._children(self.delta_path):
+            ids += [int(b.split("=", 1)[1]) for b in self._children(f"{self.delta_path}/{t}")
+                    if b.startswith("batch_id=")]
+        snap = self.latest_snapshot()
+        return max(ids + ([snap] if snap is not None else []))
 
     def write_batch(self, deltas: DataFrame, batch_id: int) -> None:
         """Write one stream batch; re-running the same batch replaces its rows."""
@@ -306,7 +390,7 @@ class CellStore:
     def scan(self, tbl: str) -> DataFrame:
         """Every cell of a table as text -> ``row_key, family, qualifier, law, value``."""
         fams = {tbl: self.families().get(tbl) or TABLE_FAMILIES.get(tbl, {})}
-        d = self.deltas(tbl)
+        d = self.log(tbl)
         m = merge_all(d.drop("batch_id"), fams, admin=self._control(d))
         return m.drop("tbl")
 
@@ -318,7 +402,7 @@ class CellStore:
 
     def get(self, tbl: str, row_key: str, family: str | None = None) -> DataFrame:
         """Cells of one row (optionally one family); an absent row is empty."""
-        d = self.deltas(tbl).filter(F.col("row_key") == row_key)
+        d = self.log(tbl).filter(F.col("row_key") == row_key)
         fams = self.families().get(tbl) or TABLE_FAMILIES.get(tbl, {})
         if family is not None:
             d = d.filter(F.col("family").isNull() | (F.col("family") == family))

@@ -278,11 +278,13 @@ def process_batch(store: CellStore, lines: DataFrame, batch_id: int, tz: str = "
 
 def start_stream(spark: SparkSession, lines: DataFrame, store: CellStore, checkpoint: str,
                  trigger: dict | None = None, tz: str = "UTC", bucket_unit: str = "ms",
-                 quarantine: str | None = None, query_name: str | None = None):
+                 quarantine: str | None = None, query_name: str | None = None,
+                 compact_every: int | None = None):
     """Start the metrics stream over a streaming DataFrame of text lines.
 
     ``trigger`` is passed to ``DataStreamWriter.trigger`` (for example
     ``{"processingTime": "50 seconds"}`` or ``{"availableNow": True}``).
+    ``compact_every=k`` folds the log into a snapshot after every k-th batch.
     The checkpoint and the store must live and die together: batch ids
     restart at 0 without a checkpoint and would overwrite old batches, so a
     store that already holds batches with no checkpoint is refused.
@@ -293,6 +295,11 @@ def start_stream(spark: SparkSession, lines: DataFrame, store: CellStore, checkp
 
     def run(df: DataFrame, batch_id: int) -> None:
         process_batch(store, df, batch_id, tz, bucket_unit, quarantine)
+        # Fold the log every `compact_every` batches so reads stay bounded by
+        # the state size, not by the number of batches.  A replayed batch
+        # rewrites its partition and re-runs the same compaction.
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            store.compact(batch_id)
 
     w = lines.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     if query_name:
