@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from usagelake.functions.expressions import int_div
-from usagelake.session import shared_dir
+from usagelake.session import reusable
 
 # Up to this many categories the running sum is one window in one task and
 # the category side of a draw is broadcast; the count is checked first.
@@ -63,11 +63,8 @@ def weight_cumulative(weights: DataFrame, keys, weight_col: str = "weight",
         win = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         c = w.withColumn("hi", F.sum("weight").over(win).cast("bigint"))
         return c.withColumn("lo", F.col("hi") - F.col("weight")).select(*keys, "weight", "lo", "hi")
-    spark = w.sparkSession
     parts = max(2, int(n // small_limit) + 1)
-    spark.sparkContext.setCheckpointDir(shared_dir(spark, "usagelake-checkpoints"))
-    ranged = (w.repartitionByRange(parts, *keys)
-              .withColumn("_pid", F.spark_partition_id())).checkpoint(eager=True)
+    ranged = reusable(w.repartitionByRange(parts, *keys).withColumn("_pid", F.spark_partition_id()))
     local_win = (Window.partitionBy("_pid").orderBy(*keys)
                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = ranged.withColumn("_run", F.sum("weight").over(local_win))

@@ -1,15 +1,17 @@
 """Reports stream -> metric deltas -> cell tables.
 
-``metric_deltas`` turns one batch of reports into delta rows for every cell
-table.  Metrics of the same grain are fused: every session emits an array of
-its SUM cells, the array is exploded and a single aggregation folds them
-(one shuffle for eight session metrics, one for eight report metrics)
-instead of one shuffle per metric.
+``report_deltas`` turns one batch of nested reports into delta rows for
+every cell table with two aggregations: every report emits one array with
+all its SUM / UNION / version cells (report grain, eight per session, two per
+package), which one explode and one ``groupBy`` fold; the per-user-day LAST
+values come from one ``max_by``.  ``metric_deltas`` computes the same deltas
+from long session rows (one aggregation per grain) for data that is not
+nested.
 
 ``start_stream`` wires it into Structured Streaming with ``foreachBatch``:
-the batch is persisted once, all metrics are derived from it, one write
-replaces the batch's partitions (idempotent on replay), and lines that did
-not decode go to a quarantine folder.
+each batch is decoded and staged as Parquet once, all metrics are derived
+from the staged copy, one write replaces the batch's partitions (idempotent
+on replay), and lines that did not decode go to a quarantine folder.
 """
 
 from __future__ import annotations
