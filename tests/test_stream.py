@@ -70,3 +70,20 @@ def test_refuses_store_without_checkpoint(spark, scratch):
     lines = read_report_lines(spark, os.path.join(scratch, "empty-in"), stream=True)
     with pytest.raises(RuntimeError):
         start_stream(spark, lines, st, os.path.join(scratch, "no-ckpt"))
+
+
+def test_ingest_seq_decides_last_report(spark, scratch):
+    import json
+    from test_decode import GOOD
+    from pyspark.sql import functions as F
+    a = dict(GOOD, apps=[])
+    b = dict(GOOD)
+    # the first line arrives later (larger broker timestamp): it must win
+    rows = [(json.dumps(a), "2018-03-10 10:00:00", 0, 7), (json.dumps(b), "2018-03-10 09:00:00", 1, 3)]
+    df = spark.createDataFrame(rows, "value string, ts string, partition int, offset long") \
+        .withColumn("timestamp", F.to_timestamp("ts")).drop("ts")
+    from usagelake.streaming.pipeline import kafka_ingest_seq
+    st = CellStore(spark, os.path.join(scratch, "k"))
+    process_batch(st, df, 0, ingest_seq=kafka_ingest_seq())
+    got = {r["family"]: r["value"] for r in st.get("USER", "u1").collect()}
+    assert got["usage_times"] == "0" and got["usage_history"] == ""
