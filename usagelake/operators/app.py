@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from usagelake.functions.expressions import duration_bucket, hour_of, trunc_seconds, week_of_month
+from usagelake.session import reusable
 
 
 def app_launches(sessions: DataFrame) -> DataFrame:
@@ -29,16 +30,22 @@ def page_of(key, pages) -> "F.Column":
     return F.pmod(h, pages)
 
 
-def app_daily_users_text(sessions: DataFrame, page_size: int = 1000) -> DataFrame:
+def app_daily_users_text(sessions: DataFrame, page_size: int = 1000,
+                         materialize: bool = True) -> DataFrame:
     """The comma-joined user list per package x date, in pages.
 
     A group with n distinct users is split into ceil(n / page_size) pages by a
     hash of the user id, so no single text (and no single aggregation buffer)
     grows with the data; a group under ``page_size`` users is one page, the
     plain comma list.  Users are sorted within a page.
+    The distinct users are read twice (group sizes, then pages); with
+    ``materialize`` they are checkpointed once to the shared folder, which
+    is far smaller than re-running the sessions' lineage.
     -> ``package_name, date, page, users_text``.
     """
     users = app_daily_users(sessions)
+    if materialize:
+        users = reusable(users)
     sizes = users.groupBy("package_name", "date").agg(
         F.ceil(F.count("*") / F.lit(float(page_size))).cast("bigint").alias("pages"))
     paged = users.join(sizes, ["package_name", "date"]).withColumn(
