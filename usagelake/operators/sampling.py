@@ -49,7 +49,7 @@ def weight_cumulative(weights: DataFrame, keys, weight_col: str = "weight",
                       small_limit: int = SMALL_CATEGORIES) -> DataFrame:
     """Running weight ranges in key order -> ``*keys, weight, lo, hi``.
 
-    Categories are first folded per key.  Up to ``small_limit`` categories
+    Categories are first folded per key (and checkpointed).  Up to ``small_limit`` categories
     (counted, not assumed) the running sum is a single ordered window.
     Beyond that the table is range-partitioned by key, each partition gets a
     local running sum, and per-partition totals (one row per partition) give
@@ -57,7 +57,10 @@ def weight_cumulative(weights: DataFrame, keys, weight_col: str = "weight",
     checkpoint folder first so partition ids stay fixed on recomputation.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    w = weight_rollup(weights, keys, weight_col)
+    # One row per category, read by the count, the running sum and later by
+    # the draw's total and size check: materialise it once instead of
+    # re-running the weights' lineage (for app weights, the fact table) per pass.
+    w = reusable(weight_rollup(weights, keys, weight_col))
     n = w.count()
     if n <= small_limit:
         win = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
