@@ -170,16 +170,15 @@ def merge_all(deltas: DataFrame, families: dict | None = None, admin=True) -> Da
     # Tombstones carry no family, so resolve them before attaching laws.
     # The law table has one row per declared family: a fixed, small bound.
     d = live_rows(deltas, admin).join(F.broadcast(laws), ["tbl", "family"])
-    parts = []
-    for law, fn in ((SUM, _sum), (LAST, _last)):
-        m = fn(d.filter(F.col("law") == law).drop("law"))
-        parts.append(m.select(*CELL, F.lit(law).alias("law"), F.col("value").cast("string")))
+    # SUM and LAST cells in one aggregation (one value per cell), UNION
+    # members in a second one (one row per member): two passes over the log.
+    text = F.coalesce(F.col("text"), F.col("num").cast("string"))
+    one = (d.filter(F.col("law") != UNION).groupBy(*CELL, "law")
+           .agg(F.sum("num").cast("bigint").alias("_s"), F.max_by(text, _order()).alias("_l"))
+           .select(*CELL, "law", F.when(F.col("law") == SUM, F.col("_s").cast("string"))
+                   .otherwise(F.col("_l")).alias("value")))
     u = _union(d.filter(F.col("law") == UNION).drop("law"))
-    parts.append(u.select(*CELL, F.lit(UNION).alias("law"), F.col("member").alias("value")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return one.unionByName(u.select(*CELL, F.lit(UNION).alias("law"), F.col("member").alias("value")))
 
 
 # ---- the store -----------------------------------------------------------
