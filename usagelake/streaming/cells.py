@@ -310,17 +310,20 @@ class CellStore:
         laws = law_table(self.spark, {**TABLE_FAMILIES, **self.families()})
         x = live.join(F.broadcast(laws), ["tbl", "family"])
         o = _order()
-        sums = (x.filter(F.col("law") == SUM).groupBy(*CELL)
-                .agg(F.sum("num").cast("bigint").alias("num"))
-                .select(*CELL, "num", F.lit(None).cast("string").alias("text"),
-                        F.lit(2 * n).cast("bigint").alias("epoch"), F.lit(0).cast("bigint").alias("seq")))
+        # SUM and LAST cells in one aggregation, UNION members in another.
+        is_sum = F.col("law") == SUM
+        one = (x.filter(F.col("law") != UNION).groupBy(*CELL, "law")
+               .agg(F.sum("num").cast("bigint").alias("_s"),
+                    F.max_by(F.struct("num", "text", "epoch", "seq"), o).alias("w"))
+               .select(*CELL,
+                       F.when(is_sum, F.col("_s")).otherwise(F.col("w.num")).alias("num"),
+                       F.when(is_sum, F.lit(None).cast("string")).otherwise(F.col("w.text")).alias("text"),
+                       F.when(is_sum, F.lit(2 * n).cast("bigint")).otherwise(F.col("w.epoch")).alias("epoch"),
+                       F.when(is_sum, F.lit(0).cast("bigint")).otherwise(F.col("w.seq")).alias("seq")))
         unions = (_union(x.filter(F.col("law") == UNION).drop("law"))
                   .select(*CELL, F.lit(None).cast("bigint").alias("num"), F.col("member").alias("text"),
                           F.lit(2 * n).cast("bigint").alias("epoch"), F.lit(0).cast("bigint").alias("seq")))
-        lasts = (x.filter(F.col("law") == LAST).groupBy(*CELL)
-                 .agg(F.max_by(F.struct("num", "text", "epoch", "seq"), o).alias("w"))
-                 .select(*CELL, "w.num", "w.text", "w.epoch", "w.seq"))
-        snap = (sums.unionByName(unions).unionByName(lasts)
+        snap = (one.unionByName(unions)
                 .withColumn("op", F.lit("add")).withColumn("batch_id", F.lit(n).cast("bigint"))
                 .select(*[f.name for f in LOG_SCHEMA.fields]))
         snap.write.mode("overwrite").parquet(f"{self.snap_path}/upto={n}")
