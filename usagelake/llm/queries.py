@@ -6,18 +6,33 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from usagelake.llm import simhash
+from usagelake.llm import packing, pii, quality, simhash
 from usagelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.op2(table(spark, sf_dir, "documents"))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.op4(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.op7(table(spark, sf_dir, "documents"))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.op8(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
+    "op2_pii": op2_pii,
+    "op4_quality": op4_quality,
     "op7_simhash": op7_simhash,
+    "op8_packing": op8_packing,
 }
 
 ORACLES: dict[str, str] = {}
