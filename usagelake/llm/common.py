@@ -74,3 +74,11 @@ def slices(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int,
         j = min(max(j, i + 1), n)
         yield i, j
         i = j
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

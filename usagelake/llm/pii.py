@@ -16,8 +16,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from usagelake.llm.common import arrow_limits, utf8
+from usagelake.llm.common import arrow_limits, fresh, utf8
 
 KINDS = ("email", "ip", "card", "phone")
 MAX_UNITS = 16
@@ -341,8 +342,9 @@ def training_regions(docs: DataFrame, sample_docs: int = SAMPLE_DOCS,
     return [(r.part, r.labels) for r in rows.collect()]
 
 
-def pii_spans(docs: DataFrame, weights: np.ndarray | None = None) -> DataFrame:
-    """All columns of ``docs`` plus ``_base`` and ``_spans``: arrays of (kind, start, end) as text.
+def pii_spans(docs: DataFrame, weights: np.ndarray | None = None,
+              columns: tuple[str, str] = ("_base", "_spans")) -> DataFrame:
+    """All columns of ``docs`` plus the base spans and all spans, each as kind:start:end joined by commas.
 
     Fits the field on ``docs`` unless weights are given.  Whole texts are read; null
     and empty texts have no spans; repeated rows have equal spans.
@@ -353,7 +355,7 @@ def pii_spans(docs: DataFrame, weights: np.ndarray | None = None) -> DataFrame:
         weights = train(training_regions(docs))
     w = np.asarray(weights)
     names, at = docs.columns, docs.columns.index("text")
-    schema = docs.schema.add("_base", "string").add("_spans", "string")
+    schema = StructType([*docs.schema.fields, *(StructField(c, StringType()) for c in columns)])
 
     def run(batches):
         for b in batches:
@@ -366,7 +368,7 @@ def pii_spans(docs: DataFrame, weights: np.ndarray | None = None) -> DataFrame:
                 base.append(span_text(found))
                 full.append(span_text(all_spans(text, found, w)))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(base, pa.string()), pa.array(full, pa.string())],
-                                             [*names, "_base", "_spans"])
+                                             [*names, *columns])
 
     return docs.mapInArrow(run, schema)
 
@@ -376,7 +378,7 @@ def redacted(docs: DataFrame, weights: np.ndarray | None = None) -> DataFrame:
 
     Spans that overlap are replaced together under the first one's kind.  Null texts stay null.
     """
-    spans = pii_spans(docs, weights)
+    spans = pii_spans(docs, weights, (fresh(docs, "_base"), fresh(docs, "_spans")))
     names, at = docs.columns, docs.columns.index("text")
 
     def run(batches):

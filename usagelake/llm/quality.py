@@ -13,8 +13,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from usagelake.llm.common import arrow_limits, slices, utf8
+from usagelake.llm.common import arrow_limits, fresh, slices, utf8
 from usagelake.llm.words import hash_spans, mix, split_words
 
 BITS = 18
@@ -144,13 +145,13 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", bits: int
     return np.frombuffer(bytes(model["w"]), np.float32)
 
 
-def scored(docs: DataFrame, weights: np.ndarray, bits: int = BITS) -> DataFrame:
-    """All columns of ``docs`` plus ``_score`` (double, 0 to 1); weights are a fixed-size broadcast."""
+def scored(docs: DataFrame, weights: np.ndarray, bits: int = BITS, column: str = "_score") -> DataFrame:
+    """All columns of ``docs`` plus ``column`` (double, 0 to 1); weights are a fixed-size broadcast."""
     spark = docs.sparkSession
     arrow_limits(spark)
     model = spark.sparkContext.broadcast(weights)
     names = docs.columns
-    schema = docs.select([F.col(f"`{c}`") for c in names]).schema.add("_score", "double")
+    schema = StructType([*docs.schema.fields, StructField(column, DoubleType())])
     at = names.index("text")
 
     def run(batches):
@@ -163,18 +164,24 @@ def scored(docs: DataFrame, weights: np.ndarray, bits: int = BITS) -> DataFrame:
                 total = np.bincount(doc, weights=w[bucket], minlength=j - i)
                 parts.append(1 / (1 + np.exp(-np.clip(total / np.maximum(n, 1) * SCALE + w[-1], -35, 35))))
             score = np.concatenate(parts) if parts else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(score)], [*names, "_score"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(score)], [*names, column])
 
     return docs.mapInArrow(run, schema)
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:
+def quality_scores(docs: DataFrame, labels: DataFrame, label: str = "quality", column: str = "_score") -> DataFrame:
     """Train on ``labels`` and score every whole text of ``docs``; columns of ``docs`` stay.
 
     Null and empty texts score the bias alone; repeated rows score alike; an empty
     ``docs`` gives no rows; without usable labels every score is 0.5.
     """
-    return scored(docs, train(docs, labels, label))
+    return scored(docs, train(docs, labels, label), column=column)
+
+
+def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of ``docs`` that score at least THRESHOLD, with their columns unchanged."""
+    column = fresh(docs, "_score")
+    return quality_scores(docs, labels, column=column).where(F.col(column) >= THRESHOLD).drop(column)
 
 
 def op4(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from usagelake.llm import packing, pii, quality, simhash
+from usagelake.llm import mixing, packing, pii, quality, sharding, simhash
 from usagelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,10 +16,18 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.op2(table(spark, sf_dir, "documents"))
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.op3(table(spark, sf_dir, "documents"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.op4(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.op6(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.op7(table(spark, sf_dir, "documents"))
 
@@ -30,9 +38,13 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_pii": op2_pii,
+    "op3_sharding": op3_sharding,
     "op4_quality": op4_quality,
+    "op6_mixing": op6_mixing,
     "op7_simhash": op7_simhash,
     "op8_packing": op8_packing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_mixing": mixing.ORACLE_SQL,
+}

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from xxhash import xxh64_intdigest
 
-from usagelake.llm.common import arrow_limits, staged, utf8
+from usagelake.llm.common import arrow_limits, fresh, staged, utf8
 from usagelake.llm.components import components
 
 SEED = 42
@@ -49,18 +49,20 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """``doc_id, fp`` for every row of ``docs``; ``fp`` is the fingerprint as a signed long."""
+    """``doc_id, fp, row`` for every row of ``docs``: the fingerprint as a signed long, and a row number
+    that a second read of the same files gives again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             buf, off = utf8(b.column(1))
             data = buf.tobytes()
             fp = np.array([fingerprint(data[i:j], shingle) for i, j in zip(off[:-1], off[1:])], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64)), b.column(2)],
+                                             ["doc_id", "fp", "row"])
 
     arrow_limits(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"),
+                       F.monotonically_increasing_id().alias("row")).mapInArrow(run, "doc_id long, fp long, row long")
 
 
 def embedding(fp: np.ndarray, segment_bits: int = SEGMENT_BITS) -> np.ndarray:
@@ -161,7 +163,7 @@ def grid_links(distinct: DataFrame, max_distance: int, cell_block: int = CELL_BL
 
 
 def simhash_classes(docs: DataFrame, shingle: int = 3, max_distance: int = 3) -> DataFrame:
-    """``doc_id, fp, component_id`` for every row: the smallest doc_id reachable by links.
+    """``doc_id, fp, row, component_id`` for every row: the smallest doc_id reachable by links.
 
     Null and empty texts have fingerprint zero and link like any other; repeated
     rows share a fingerprint; a null doc_id keeps its row and counts last as a
@@ -175,7 +177,19 @@ def simhash_classes(docs: DataFrame, shingle: int = 3, max_distance: int = 3) ->
     linked = lead.join(low, "root").select(F.col("node").alias("fp"), "component_id")
     classes = heads.join(linked, "fp", "left").select(
         "fp", F.coalesce("component_id", "head").alias("component_id"))
-    return fps.join(classes, "fp").select("doc_id", "fp", "component_id")
+    return fps.join(classes, "fp").select("doc_id", "fp", "row", "component_id")
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """One row of each class, that of the smallest doc_id (its first row if repeated), columns unchanged.
+
+    ``docs`` must be a written table: its rows are numbered in two reads.
+    """
+    row = fresh(docs, "_row")
+    first = simhash_classes(docs).groupBy("component_id").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("m"))
+    return docs.withColumn(row, F.monotonically_increasing_id()).join(
+        first.select(F.col("m.row").alias(row)), row, "left_semi").select(*docs.columns)
 
 
 def op7(docs: DataFrame) -> DataFrame:
