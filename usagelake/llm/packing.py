@@ -13,7 +13,9 @@ dissolved at the end and their documents packed again in shared blocks.
 from __future__ import annotations
 
 import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from usagelake.llm.common import arrow_limits, staged, utf8
+from usagelake.llm.words import SPACE
 
 LENGTH = 1024
 END_ID = 2
@@ -37,7 +40,7 @@ WELL_FILLED = 0.97
 # texts go through the tokenizer file itself.
 _PLAIN = re.compile(r"[\n\x20-\x7e¡-¬®-ɏ]*\Z")
 _SPECIAL = "<|endoftext|>"
-_LONG_RUN = re.compile(r"\S{400}")
+_LONG_RUN = 400
 
 
 def tokenizer_path(name: str) -> str:
@@ -62,10 +65,17 @@ class Encoder:
             self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges,
                                           special_tokens={})
 
-    def ids(self, text: str) -> np.ndarray:
-        if self.fast and _PLAIN.match(text) and _SPECIAL not in text and not _LONG_RUN.search(text):
-            return np.array(self.fast.encode_ordinary(text), "<u4")
-        return np.array(self.full.encode(text, add_special_tokens=False).ids, "<u4")
+    def ids(self, text: str, long_run: bool = False) -> array:
+        if self.fast and not long_run and _PLAIN.match(text) and _SPECIAL not in text:
+            return array("I", self.fast.encode_ordinary(text))
+        return array("I", self.full.encode(text, add_special_tokens=False).ids)
+
+
+def long_runs(buf: np.ndarray, off: np.ndarray) -> set[int]:
+    """Rows with more than _LONG_RUN bytes between white space."""
+    breaks = np.union1d(np.flatnonzero(SPACE[buf]), off)
+    wide = breaks[:-1][np.diff(breaks) > _LONG_RUN]
+    return set((np.searchsorted(off, wide, "right") - 1).tolist())
 
 
 def pieces(docs: DataFrame, path: str, ranks: str | None = None, length: int = LENGTH) -> DataFrame:
@@ -81,11 +91,13 @@ def pieces(docs: DataFrame, path: str, ranks: str | None = None, length: int = L
             buf, off = utf8(b.column(1))
             data = buf.tobytes()
             rows = []
-            for key, i, j in zip(b.column(0).to_pylist(), off[:-1], off[1:]):
-                ids = np.append(encoder.ids(data[i:j].decode("utf-8", "replace")), np.uint32(END_ID)).astype("<u4")
+            wide = long_runs(buf, off)
+            for k, (key, i, j) in enumerate(zip(b.column(0).to_pylist(), off[:-1], off[1:])):
+                ids = encoder.ids(data[i:j].decode("utf-8", "replace"), k in wide)
+                ids.append(END_ID)
                 first = len(ids) % length or length
                 cuts = [0, *range(first, len(ids) + 1, length)]
-                raw = ids.tobytes()
+                raw = ids.tobytes() if sys.byteorder == "little" else np.array(ids, "<u4").tobytes()
                 rows += [(key, n, s, e - s, zlib.crc32(raw[4 * s:4 * e]))
                          for n, (s, e) in enumerate(zip(cuts[:-1], cuts[1:]))]
             cols = list(zip(*rows)) or [[]] * 5

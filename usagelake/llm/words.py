@@ -7,8 +7,8 @@ from __future__ import annotations
 
 import numpy as np
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
+SPACE = np.zeros(256, bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so powers are invertible mod 2**64
 _POWERS = np.ones(1, np.uint64)
 
@@ -38,7 +38,7 @@ def split_words(buf: np.ndarray, offsets: np.ndarray):
     if len(buf) == 0:
         z = np.zeros(0, np.int64)
         return z, z, np.zeros(len(offsets), np.int64)
-    word = ~_SPACE[buf]
+    word = ~SPACE[buf]
     before = np.empty_like(word)
     before[0] = False
     before[1:] = word[:-1]
