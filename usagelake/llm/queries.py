@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from usagelake.llm import mixing, packing, pii, quality, sharding, simhash
+from usagelake.llm import cover_tree, mixing, packing, pii, quality, sharding, simhash, topk
 from usagelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,14 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.op8(table(spark, sf_dir, "documents"))
 
 
+def op9_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.op9(table(spark, sf_dir, "embeddings"))
+
+
+def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.op10(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_pii": op2_pii,
     "op3_sharding": op3_sharding,
@@ -43,8 +51,11 @@ QUERIES: dict[str, Query] = {
     "op6_mixing": op6_mixing,
     "op7_simhash": op7_simhash,
     "op8_packing": op8_packing,
+    "op9_cover_tree": op9_cover_tree,
+    "op10_topk": op10_topk,
 }
 
 ORACLES: dict[str, str] = {
     "op6_mixing": mixing.ORACLE_SQL,
+    "op10_topk": topk.ORACLE_SQL,
 }
