@@ -3,9 +3,9 @@
 A 64-bit code is cut into SEGMENTS parts; the index lists, for every part, the
 codes by the part's value.  With search radius r per part, every code within
 SEGMENTS * (r + 1) - 1 bits of a query agrees with it in some part up to r bits
-(pigeonhole).  Round r probes the values at exactly r bits from the query's
-parts and keeps the codes whose whole distance is covered at r; a query leaves
-as soon as its k-th verified distance is covered.  Rows of one code are one entry
+(pigeonhole).  Round r probes the values up to r bits from the query's parts and
+keeps the codes whose whole distance is newly covered at r; a query leaves as
+soon as its k-th verified distance is covered.  Rows of one code are one entry
 of the index, with their k + 1 smallest ids: more can't be in any answer.
 """
 
@@ -38,9 +38,9 @@ def _part(code, s: int, width: int):
     return F.shiftrightunsigned(code, s * width).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
 
 
-def ring(width: int, r: int):
-    """All masks of ``width`` bits with ``r`` of them set: a constant array (at most 12,870 for 16 bits)."""
-    return F.split(F.lit(",".join(str(m) for m in range(1 << width) if m.bit_count() == r)), ",").cast("array<bigint>")
+def ball(width: int, r: int):
+    """All masks of ``width`` bits with at most ``r`` of them set: a constant array (at most 65,536 for 16 bits)."""
+    return F.split(F.lit(",".join(str(m) for m in range(1 << width) if m.bit_count() <= r)), ",").cast("array<bigint>")
 
 
 def first_ids(codes: DataFrame, k: int) -> DataFrame:
@@ -77,9 +77,9 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int = K, segments: int = SEGM
     for r in range(width + 1):
         covered = segments * (r + 1) - 1
         probes = open_.select("q", segment("q").alias("e")).select(
-            "q", "e.s", F.explode(F.transform(ring(width, r), lambda m: F.col("e.v").bitwiseXOR(m))).alias("v"))
+            "q", "e.s", F.explode(F.transform(ball(width, r), lambda m: F.col("e.v").bitwiseXOR(m))).alias("v"))
         away = F.bit_count(F.col("q").bitwiseXOR(F.col("code")))
-        near = probes.join(index, (probes["s"] == index["s"]) & (probes["v"] == index["v"]) & (away <= covered)).select(
+        near = probes.join(index, (probes["s"] == index["s"]) & (probes["v"] == index["v"]) & (away > covered - segments) & (away <= covered)).select(
             "q", "code", "n", "first", away.alias("distance"))
         near = (near if found is None else near.unionByName(found)).distinct()
         # a row of the answer lies in one of the k + 1 codes that come first by distance and smallest id
