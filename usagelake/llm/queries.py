@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from usagelake.llm import cover_tree, mixing, packing, pii, quality, sharding, simhash, topk
+from usagelake.llm import (
+    chaining, cover_tree, mixing, packing, pii, quality, sharding, simhash, suffix_array, topk)
 from usagelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_array.op1(table(spark, sf_dir, "documents"))
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.op2(table(spark, sf_dir, "documents"))
 
@@ -24,6 +29,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.op4(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_chaining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chaining.op5(table(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.op6(table(spark, sf_dir, "documents"))
 
@@ -45,9 +54,11 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_suffix_array": op1_suffix_array,
     "op2_pii": op2_pii,
     "op3_sharding": op3_sharding,
     "op4_quality": op4_quality,
+    "op5_chaining": op5_chaining,
     "op6_mixing": op6_mixing,
     "op7_simhash": op7_simhash,
     "op8_packing": op8_packing,

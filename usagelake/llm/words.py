@@ -53,17 +53,26 @@ def split_words(buf: np.ndarray, offsets: np.ndarray):
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+_SPANS = 8192  # spans hashed at a time: the temporaries stay in the processor's cache
+
+
 def hash_spans(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of every span ``codes[start:end]`` (non-empty spans in order)."""
-    if len(starts) == 0:
-        return np.zeros(0, np.uint64)
-    lens = ends - starts
-    first = np.cumsum(lens) - lens
-    within = np.arange(int(lens.sum())) - np.repeat(first, lens)
-    values = codes[within + np.repeat(starts, lens)].astype(np.uint64)
-    values += np.uint64(1)
-    values *= powers(int(lens.max()))[within]
-    return mix(np.add.reduceat(values, first) + lens.astype(np.uint64))
+    """64-bit hash of every span ``codes[start:end]`` (non-empty, in order, not overlapping)."""
+    out = np.empty(len(starts), np.uint64)
+    for k in range(0, len(starts), _SPANS):
+        first, last = starts[k:k + _SPANS], ends[k:k + _SPANS]
+        lo, hi = int(first[0]), int(last[-1])
+        lens = (last - first).astype(np.int32)
+        steps = np.diff(first, append=hi)  # from a span's start to the next one's
+        within = np.arange(hi - lo, dtype=np.int32)
+        within -= np.repeat((first - lo).astype(np.int32), steps)
+        values = codes[lo:hi].astype(np.uint64)
+        values += np.uint64(1)
+        if (steps != lens).any():
+            values[within >= np.repeat(lens, steps)] = 0  # between spans
+        values *= powers(int(steps.max()))[within]
+        out[k:k + _SPANS] = np.add.reduceat(values, first - lo) + lens.astype(np.uint64)
+    return mix(out)
 
 
 def window_hashes(h: np.ndarray, size: int) -> np.ndarray:
@@ -95,13 +104,9 @@ def powers_back(n: int) -> np.ndarray:
     return _BACK[:n]
 
 
-def minimisers(h: np.ndarray, window: int) -> np.ndarray:
-    """Positions that hold the smallest value of some run of ``window`` values.
-
-    Ties go to the leftmost; a document with fewer than ``window`` values has none.
-    """
-    n = len(h) - window + 1
-    if n <= 0:
+def smallest(h: np.ndarray, window: int) -> np.ndarray:
+    """Position of the smallest of every ``window`` consecutive values; ties go to the leftmost."""
+    if len(h) < window:
         return np.zeros(0, np.int64)
     pos = np.arange(len(h))
     size = 1
@@ -110,6 +115,12 @@ def minimisers(h: np.ndarray, window: int) -> np.ndarray:
         a, b = pos[:len(pos) - step], pos[step:]
         pos = np.where(h[b] < h[a], b, a)
         size += step
-    keep = np.ones(n, bool)
+    return pos
+
+
+def minimisers(h: np.ndarray, window: int) -> np.ndarray:
+    """Positions that hold the smallest value of some run of ``window`` values, in order."""
+    pos = smallest(h, window)
+    keep = np.ones(len(pos), bool)
     keep[1:] = pos[1:] != pos[:-1]
     return pos[keep]
