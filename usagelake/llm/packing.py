@@ -151,12 +151,13 @@ def crossover(a, b, sizes, length: int, rng) -> tuple[list[list[int]], list[int]
     take = [k for k in good if rng.random() < 0.5]
     new = [list(bins_b[k]) for k in take]
     fill = [fill_b[k] for k in take]
-    used = np.zeros(len(sizes), bool)
+    used = bytearray(len(sizes))
     for group in new:
-        used[group] = True
+        for i in group:
+            used[i] = 1
     displaced = []
     for group, f in zip(*a):
-        if used[group].any():
+        if any([used[i] for i in group]):
             displaced += [i for i in group if not used[i]]
         else:
             new.append(list(group))
