@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -66,14 +67,34 @@ def neighbours(occurrences: DataFrame, name: str) -> DataFrame:
 
     runs = staged(occurrences.select("key", "doc_id", "pos").repartitionByRange(parts, "key", "doc_id")
                   .mapInArrow(run, _SCHEMA), name)
-    # at most two keys and one last row for each partition: bounded by the number of partitions
+    # at most two keys and one last row for each partition: two small tables, bounded by the partitions
     ends = runs.where("edge").groupBy("key").agg(
-        F.min(F.struct("first_doc", "first_pos")).alias("f"), (F.min("doc_id") != F.max("doc_id")).alias("m"))
-    tails = runs.where("last").select("key", (F.col("part") + 1).alias("part"), F.col("doc_id").alias("t_doc"),
-                                      F.col("pos").alias("t_pos"))
-    inner = runs.where("not edge").select(*_COLUMNS)
-    outer = runs.where("edge").join(F.broadcast(ends), "key").where("m").join(
-        F.broadcast(tails), ["key", "part"], "left").select(
-            "key", "doc_id", "pos", "f.first_doc", "f.first_pos",
-            F.coalesce("prev_doc", "t_doc").alias("prev_doc"), F.coalesce("prev_pos", "t_pos").alias("prev_pos"))
-    return inner.unionByName(outer)
+        F.min(F.struct("first_doc", "first_pos")).alias("f"), (F.min("doc_id") != F.max("doc_id")).alias("m")).orderBy("key")
+    heads = np.array([(r["key"], r["f"]["first_doc"], r["f"]["first_pos"], r["m"]) for r in ends.collect()],
+                     np.int64).reshape(-1, 4)
+    tails = {r["part"] + 1: (r["key"], r["doc_id"], r["pos"]) for r in
+             runs.where("last").select("part", "key", "doc_id", "pos").collect()}
+    shared = spark.sparkContext.broadcast((heads, tails))
+
+    def resolve(batches):
+        heads, tails = shared.value
+        for b in batches:
+            c = [b.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
+            prev = [pc.fill_null(b.column(i), 0).to_numpy(zero_copy_only=False).copy() for i in (5, 6)]
+            none = b.column("prev_doc").is_null().to_numpy(zero_copy_only=False).copy()
+            many = b.column("many").to_numpy(zero_copy_only=False).copy()
+            edge = np.flatnonzero(b.column("edge").to_numpy(zero_copy_only=False))
+            part = b.column("part").to_numpy(zero_copy_only=False)
+            first = [x.copy() for x in c[3:]]
+            if len(edge):
+                at = np.searchsorted(heads[:, 0], c[0][edge])
+                first[0][edge], first[1][edge], many[edge] = heads[at, 1], heads[at, 2], heads[at, 3] != 0
+            for p in np.unique(part[edge]).tolist():
+                if p in tails:  # rows of the partition's first document whose key the partition before ends with
+                    key, doc, pos = tails[p]
+                    rows = (part == p) & (c[0] == key) & none
+                    prev[0][rows], prev[1][rows], none[rows] = doc, pos, False
+            cols = [*(pa.array(x[many]) for x in (*c[:3], *first)), *(pa.array(x[many], mask=none[many]) for x in prev)]
+            yield pa.RecordBatch.from_arrays(cols, list(_COLUMNS))
+
+    return runs.mapInArrow(resolve, ", ".join(f"{c} long" for c in _COLUMNS))
