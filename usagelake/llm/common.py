@@ -52,11 +52,24 @@ def drop_staged(df: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def merged(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.Table]:
+    """Batches put together up to about ``limit`` bytes."""
+    held, size = [], 0
+    for b in batches:
+        held.append(b)
+        size += b.nbytes
+        if size >= limit:
+            yield pa.Table.from_batches(held).combine_chunks()
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets (from 0) of a string column; null texts count as empty."""
-    column = pc.fill_null(column.cast(pa.large_string()), "")
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
+    column = pc.fill_null(column.cast(pa.large_string()), "")
     n = len(column)
     if n == 0:
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)

@@ -13,9 +13,7 @@ dissolved at the end and their documents packed again in shared blocks.
 from __future__ import annotations
 
 import re
-import sys
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,8 +21,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from usagelake.llm.common import arrow_limits, staged, utf8
-from usagelake.llm.words import SPACE
+from usagelake.llm.common import arrow_limits, merged, slices, staged, utf8
+from usagelake.llm.words import SPACE, hash_spans
 
 LENGTH = 1024
 END_ID = 2
@@ -35,12 +33,14 @@ GENERATIONS = 6
 POPULATION = 4
 WELL_FILLED = 0.97
 
-# Texts of these characters and of words of moderate length split alike in both
-# encoders of the vocabulary, and the one over its rank file is faster; all other
-# texts go through the tokenizer file itself.
-_PLAIN = re.compile(r"[\n\x20-\x7e¡-¬®-ɏ]*\Z")
-_SPECIAL = "<|endoftext|>"
+# Texts of these characters (new line, printable ASCII, Latin letters and signs) and
+# of words of moderate length split alike in both encoders of the vocabulary, and
+# the one over its rank file is faster; all other texts go through the tokenizer
+# file itself.
+_PLAIN = re.compile(rb"(?:[\n\x20-\x7e]++|\xc2[\xa1-\xac\xae-\xbf]|[\xc3-\xc8][\x80-\xbf]|\xc9[\x80-\x8f])*+\Z")
+_SPECIAL = b"<|endoftext|>"
 _LONG_RUN = 400
+ENCODE_BYTES = 1 << 24  # text encoded at a time: the longer, the fewer parts are new
 
 
 def tokenizer_path(name: str) -> str:
@@ -49,7 +49,12 @@ def tokenizer_path(name: str) -> str:
 
 
 class Encoder:
-    """Ids of the tokenizer file, special strings included, without added special tokens."""
+    """Ids of the tokenizer file, special strings included, without added special tokens.
+
+    A plain text's tokens never cross the place before a space that a non-space follows,
+    so texts are cut there and every different part is encoded once in a batch of
+    texts; parts are told apart by 64-bit hashes.
+    """
 
     def __init__(self, path: str, ranks: str | None = None):
         from tokenizers import Tokenizer
@@ -64,16 +69,74 @@ class Encoder:
                 merges = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
             self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges,
                                           special_tokens={})
-
-    def ids(self, text: str, long_run: bool = False) -> array:
-        if self.fast and not long_run and _PLAIN.match(text) and _SPECIAL not in text:
-            return array("I", self.fast.encode_ordinary(text))
-        return array("I", self.full.encode(text, add_special_tokens=False).ids)
+            self.size = np.zeros(max(merges.values()) + 1, np.int64)
+            for raw, k in merges.items():
+                self.size[k] = len(raw)
+
+    def texts(self, buf: np.ndarray, off: np.ndarray) -> Iterator[np.ndarray]:
+        """The ids of every text of a buffer."""
+        data, n = buf.tobytes(), len(off) - 1
+        plain = np.zeros(n, bool)
+        if self.fast:
+            wide = long_runs(buf, off)
+            for k in range(n):
+                raw = data[off[k]:off[k + 1]]
+                plain[k] = k not in wide and _PLAIN.match(raw) is not None and _SPECIAL not in raw
+        ids, cut = self._parts(buf, off, data, plain) if plain.any() else (None, None)
+        for k in range(n):
+            if plain[k]:
+                yield ids[cut[k]:cut[k + 1]]
+            else:
+                text = data[off[k]:off[k + 1]].decode("utf-8", "replace")
+                yield np.array(self.full.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def _parts(self, buf: np.ndarray, off: np.ndarray, data: bytes, plain: np.ndarray):
+        """Ids of all plain texts in one array, and where each text's begin."""
+        head = np.zeros(len(buf) + 1, bool)
+        head[:-2] = (buf[:-1] == 32) & (buf[1:] != 32) & (buf[1:] != 10) if len(buf) else False
+        head[off[1:-1] - 1] = False
+        head[off] = True
+        starts = np.flatnonzero(head)
+        first = np.searchsorted(starts, off)  # of every text, among the parts
+        starts, ends = starts[:-1], starts[1:]
+        count = np.diff(first)
+        if not plain.all():
+            use = np.repeat(plain, count)
+            starts, ends, count = starts[use], ends[use], np.where(plain, count, 0)
+        coded = pa.array(hash_spans(buf, starts, ends).view(np.int64)).dictionary_encode()
+        which = coded.indices.to_numpy()
+        at = np.empty(len(coded.dictionary), np.int64)
+        at[which[::-1]] = np.arange(len(which))[::-1]
+        ids, first = self._encoded([data[i:j] for i, j in zip(starts[at].tolist(), ends[at].tolist())])
+        taken = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ids)).take(coded.indices)
+        return taken.flatten().to_numpy(), taken.offsets.to_numpy()[np.concatenate(([0], np.cumsum(count)))]
+
+    def _encoded(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of different parts in one array and the place of each one's first.
+
+        Parts that begin with a space are encoded as one text and cut by the tokens' bytes.
+        """
+        spaced = np.array([p[0] == 32 for p in parts], bool)
+        joined = np.array(self.fast.encode_ordinary(b"".join([p for p in parts if p[0] == 32]).decode()), np.uint32)
+        ends = np.cumsum([len(p) for p in parts if p[0] == 32])
+        count = np.zeros(len(parts), np.int64)
+        count[spaced] = np.diff(np.searchsorted(np.cumsum(self.size[joined]), ends) + 1, prepend=0)
+        heads = [self.fast.encode_ordinary(p.decode()) for p in parts if p[0] != 32]  # texts' first parts
+        count[~spaced] = [len(h) for h in heads]
+        first = np.concatenate(([0], np.cumsum(count)))
+        ids = np.empty(first[-1], np.uint32)
+        from_head = np.repeat(~spaced, count)
+        ids[~from_head] = joined
+        ids[from_head] = np.fromiter((i for h in heads for i in h), np.uint32)
+        return ids, first
 
 
 def long_runs(buf: np.ndarray, off: np.ndarray) -> set[int]:
     """Rows with more than _LONG_RUN bytes between white space."""
-    breaks = np.union1d(np.flatnonzero(SPACE[buf]), off)
+    spaces = np.flatnonzero(SPACE[buf])
+    if len(buf) and np.diff(spaces, prepend=-1, append=len(buf)).max() <= _LONG_RUN:
+        return set()
+    breaks = np.sort(np.concatenate((spaces, off)), kind="stable")
     wide = breaks[:-1][np.diff(breaks) > _LONG_RUN]
     return set((np.searchsorted(off, wide, "right") - 1).tolist())
 
@@ -87,19 +150,16 @@ def pieces(docs: DataFrame, path: str, ranks: str | None = None, length: int = L
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(path, ranks)
-        for b in batches:
+        for b in merged(batches, ENCODE_BYTES):
             buf, off = utf8(b.column(1))
-            data = buf.tobytes()
-            rows = []
-            wide = long_runs(buf, off)
-            for k, (key, i, j) in enumerate(zip(b.column(0).to_pylist(), off[:-1], off[1:])):
-                ids = encoder.ids(data[i:j].decode("utf-8", "replace"), k in wide)
-                ids.append(END_ID)
-                first = len(ids) % length or length
-                cuts = [0, *range(first, len(ids) + 1, length)]
-                raw = ids.tobytes() if sys.byteorder == "little" else np.array(ids, "<u4").tobytes()
-                rows += [(key, n, s, e - s, zlib.crc32(raw[4 * s:4 * e]))
-                         for n, (s, e) in enumerate(zip(cuts[:-1], cuts[1:]))]
+            keys, rows = b.column(0).to_pylist(), []
+            for i, j in slices(off, ENCODE_BYTES):
+                for key, ids in zip(keys[i:j], encoder.texts(buf[off[i]:off[j]], off[i:j + 1] - off[i])):
+                    n = len(ids) + 1
+                    raw = ids.astype("<u4", copy=False).tobytes() + END_ID.to_bytes(4, "little")
+                    cuts = [0, *range(n % length or length, n + 1, length)]
+                    rows += [(key, k, s, e - s, zlib.crc32(raw[4 * s:4 * e]))
+                             for k, (s, e) in enumerate(zip(cuts[:-1], cuts[1:]))]
             cols = list(zip(*rows)) or [[]] * 5
             yield pa.RecordBatch.from_arrays(
                 [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()),
