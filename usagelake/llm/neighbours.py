@@ -72,8 +72,8 @@ def neighbours(occurrences: DataFrame, name: str) -> DataFrame:
         F.min(F.struct("first_doc", "first_pos")).alias("f"), (F.min("doc_id") != F.max("doc_id")).alias("m")).orderBy("key")
     heads = np.array([(r["key"], r["f"]["first_doc"], r["f"]["first_pos"], r["m"]) for r in ends.collect()],
                      np.int64).reshape(-1, 4)
-    tails = {r["part"] + 1: (r["key"], r["doc_id"], r["pos"]) for r in
-             runs.where("last").select("part", "key", "doc_id", "pos").collect()}
+    tails = np.array(sorted((r["part"], r["key"], r["doc_id"], r["pos"]) for r in
+                            runs.where("last").select("part", "key", "doc_id", "pos").collect()), np.int64).reshape(-1, 4)
     shared = spark.sparkContext.broadcast((heads, tails))
 
     def resolve(batches):
@@ -90,8 +90,9 @@ def neighbours(occurrences: DataFrame, name: str) -> DataFrame:
                 at = np.searchsorted(heads[:, 0], c[0][edge])
                 first[0][edge], first[1][edge], many[edge] = heads[at, 1], heads[at, 2], heads[at, 3] != 0
             for p in np.unique(part[edge]).tolist():
-                if p in tails:  # rows of the partition's first document whose key the partition before ends with
-                    key, doc, pos = tails[p]
+                at = int(np.searchsorted(tails[:, 0], p)) - 1
+                if at >= 0:  # rows of the partition's first document whose key the partition before ends with
+                    _, key, doc, pos = tails[at]
                     rows = (part == p) & (c[0] == key) & none
                     prev[0][rows], prev[1][rows], none[rows] = doc, pos, False
             cols = [*(pa.array(x[many]) for x in (*c[:3], *first)), *(pa.array(x[many], mask=none[many]) for x in prev)]
