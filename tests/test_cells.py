@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from usagelake.operators.model import Usage
@@ -91,6 +92,7 @@ def test_store_admin_ops(spark, scratch):
 
 def test_replayed_batch_is_idempotent(spark, scratch):
     st = CellStore(spark, os.path.join(scratch, "store"))
+    st.create_default_tables()
     u = Usage.from_sessions(usage_sessions(spark, SF_SMALL))
     d = metric_deltas(u)
     st.write_batch(d, 0)
@@ -147,3 +149,73 @@ def test_compaction_preserves_reads(spark, scratch):
     st.purge(3)
     assert _state(st) == after
     assert st.last_batch() == 3
+
+
+def _aiv(st, key="d1"):
+    return {r["qualifier"]: r["value"] for r in st.get("AIV", key).collect()}
+
+
+def test_admin_writes_after_a_compaction(spark, scratch):
+    """Puts and deletes give the same reads before and after compactions and purges."""
+    st = CellStore(spark, os.path.join(scratch, "store"))
+    st.create_default_tables()
+    st.write_batch(_d(spark, [("AIV", "d1", "brand", "B1", 5, None, 0, 0), ("AIV", "d2", "brand", "B1", 1, None, 0, 0)]), 0)
+    st.compact()
+    st.put("AIV", "d1", "brand", "B1", 99)
+    assert _aiv(st) == {"B1": "99"}
+    assert st.compact() == 0 and _aiv(st) == {"B1": "99"}
+    st.delete_row("AIV", "d2")
+    assert _aiv(st, "d2") == {}
+    st.write_batch(_d(spark, [("AIV", "d1", "brand", "B1", 1, None, 0, 0)]), 1)
+    assert _aiv(st) == {"B1": "100"}
+    st.compact()
+    st.purge(1)
+    assert _aiv(st) == {"B1": "100"} and _aiv(st, "d2") == {}
+    st.delete_row("AIV", "d1")
+    assert _aiv(st) == {}
+    st.put("AIV", "d1", "brand", "B2", 3)
+    st.put("AIV", "d1", "brand", "B2", 4)
+    st.write_batch(_d(spark, [("AIV", "d2", "brand", "B9", 1, None, 0, 0)]), 2)
+    st.compact()
+    st.purge(2)
+    assert _aiv(st) == {"B2": "4"} and _aiv(st, "d2") == {"B9": "1"}
+    assert st.last_batch() == 2
+
+
+def test_dropped_table_stays_empty(spark, scratch):
+    st = CellStore(spark, os.path.join(scratch, "store"))
+    st.create_default_tables()
+    st.write_batch(_d(spark, [("AIV", "d1", "brand", "B1", 5, None, 0, 0), ("USER", "u", "hobby", "k", 1, None, 0, 0)]), 0)
+    st.compact()
+    assert st.drop_table("AIV") and st.scan("AIV").count() == 0 and st.get("AIV", "d1").count() == 0
+    st.compact()
+    assert st.create_table("AIV", cells.TABLE_FAMILIES["AIV"]) and st.scan("AIV").count() == 0
+    st.write_batch(_d(spark, [("AIV", "d1", "brand", "B1", 2, None, 0, 0)]), 1)
+    assert _aiv(st) == {"B1": "2"}
+    st.compact()
+    assert _aiv(st) == {"B1": "2"} and st.scan("USER").count() == 1
+
+
+def test_put_frame(spark, scratch):
+    st = CellStore(spark, os.path.join(scratch, "store"))
+    st.create_default_tables()
+    st.write_batch(_d(spark, [("AIV", "d1", "brand", "B1", 5, None, 0, 0)]), 0)
+    rows = [("d1", "brand", "B1", "7"), ("d3", "brand", "B1", "8")]
+    st.put_frame("AIV", spark.createDataFrame(rows, "row_key string, family string, qualifier string, value string"))
+    assert _aiv(st) == {"B1": "7"} and _aiv(st, "d3") == {"B1": "8"}
+    with pytest.raises(KeyError):
+        st.put_frame("AIV", spark.createDataFrame([("d", "none", "q", "1")],
+                                                  "row_key string, family string, qualifier string, value string"))
+
+
+def test_empty_members_are_kept(spark):
+    u = _d(spark, [("SINGLE_APP", "r", "user", "d", None, "", 0, 0), ("SINGLE_APP", "r", "user", "d", None, "a", 0, 0)])
+    assert sorted(r["member"] for r in cells.merge_union(u).collect()) == ["", "a"]
+    s = u.unionByName(_d(spark, [("SINGLE_APP", "r", "user", "d", None, "", 5, 0)]).withColumn("op", F.lit("set")))
+    assert cells.merge_union(s).count() == 0  # a set to the empty list
+
+
+def test_merge_maps(spark):
+    a = spark.createDataFrame([("x", 1), ("y", 2)], "k string, n long")
+    b = spark.createDataFrame([("y", 3), ("z", 4)], "k string, n long")
+    assert sorted(map(tuple, cells.merge_maps(a, b, "k").collect())) == [("x", 1), ("y", 5), ("z", 4)]

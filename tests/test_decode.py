@@ -30,7 +30,7 @@ def test_status_cases(spark):
         (_variant(user_id=5), 0),
         (_variant(user_id=None), 0),
         (_variant(user_id=KeyError), 0),
-        (frac, 0),
+        (frac, 1),
         ("[" + json.dumps(GOOD) + "]", 0),
         ('{"a":', -1),
         ("", -1),
@@ -42,7 +42,7 @@ def test_status_cases(spark):
     got = [r["status"] for r in decode_lines(df).collect()]
     assert got == [s for _, s in cases]
     counts = {r["status"]: r["lines"] for r in decode_status_counts(df).collect()}
-    assert counts == {1: 2, 0: 7, -1: 2}
+    assert counts == {1: 3, 0: 6, -1: 2}
 
 
 def test_decode_fields(spark):
@@ -63,3 +63,22 @@ def test_encode_decode_roundtrip(spark):
     first = json.loads(lines.first()["value"])
     assert list(first)[:5] == ["user_id", "province", "city", "date", "apps"]
     assert set(first["apps"][0]) == {"package_name", "beginTime", "endTime", "version", "kind"}
+
+
+def test_one_parse_per_line(spark):
+    lines = spark.createDataFrame([(json.dumps(GOOD),)], "value string")
+    plan = reports_decode(lines)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("parsejson(") == 1
+
+
+def test_whole_decimals_are_longs(spark):
+    def status(value):
+        app = json.dumps(dict(GOOD["apps"][0], beginTime=None)).replace("null", value)
+        line = json.dumps(dict(GOOD, apps=[])).replace("[]", f"[{app}]")
+        df = spark.createDataFrame([(line,)], "value string")
+        rows = reports_decode(df).collect()
+        return decode_lines(df).first()["status"], rows[0]["apps"][0]["begin_time"] if rows else None
+
+    assert status("1520640000000.0") == (1, 1520640000000)
+    assert status("1.5")[0] == 0 and status("1e400")[0] in (0, -1) and status("1e30")[0] == 0
+    assert status("2e3") == (1, 2000)

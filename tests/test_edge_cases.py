@@ -1,5 +1,7 @@
 """Hand-made reports: empty apps, negative spans, repeated user-days."""
 
+from pyspark.sql import functions as F
+
 from usagelake.operators import app, device, population, user
 from usagelake.operators.model import Usage
 
@@ -70,7 +72,7 @@ def test_launches_and_users(spark):
         {"com.a": 3, "com.b": 2, "com.c": 1}
     assert dict((r["package_name"], r["users"]) for r in app.app_daily_user_count(u.sessions).collect()) == \
         {"com.a": 2, "com.b": 1, "com.c": 1}
-    t = app.app_daily_users_text(u.sessions).filter("package_name = 'com.a'").first()
+    t = app.app_daily_users_text(u.sessions, pages=1).filter("package_name = 'com.a'").first()
     assert t["users_text"] == "u2,u3" and t["page"] == 0
 
 
@@ -78,18 +80,20 @@ def test_users_text_pages_cover_all_users(spark):
     data = [report(f"r{i}", 0, f"u{i:03d}", "d1", [("com.z", BASE_MS, BASE_MS + 1, "1.0", "k")])
             for i in range(250)]
     u = Usage.from_reports(reports_df(spark, data))
-    pages = app.app_daily_users_text(u.sessions, page_size=100).collect()
-    assert len(pages) == 3
+    pages = app.app_daily_users_text(u.sessions, pages=8).collect()
+    assert len(pages) == 8
     members = [m for p in pages for m in p["users_text"].split(",")]
     assert sorted(members) == [f"u{i:03d}" for i in range(250)]
+    # a user's page does not depend on the group's size
+    few = app.app_daily_users_text(u.sessions.filter("user_id < 'u020'"), pages=8).collect()
+    page = {m: p["page"] for p in pages for m in p["users_text"].split(",")}
+    assert all(page[m] == p["page"] for p in few for m in p["users_text"].split(","))
 
 
-def test_history_pages_concatenate_to_whole_text(spark):
+def test_history_is_one_text_whatever_the_session_numbers(spark):
     apps = [(f"com.p{i % 3}", BASE_MS + i, BASE_MS + i + 10, "1.0", "k") for i in range(7)]
     u = Usage.from_reports(reports_df(spark, [report("r1", 0, "u1", "d1", apps)]))
-    whole = user.user_day_history_text(u.sessions, u.facts).first()["history_text"]
-    pages = sorted((r["page"], r["history_text"])
-                   for r in user.user_day_history_text(u.sessions, u.facts, page_size=3).collect())
-    assert [p for p, _ in pages] == [0, 1, 2]
-    assert ",".join(t for _, t in pages) == whole
-    assert whole.count(",") == 6
+    s = u.sessions.withColumn("session_seq", F.col("session_seq") + 99_997)  # on both sides of 100,000
+    rows_ = user.user_day_history_text(s, u.facts).collect()
+    assert len(rows_) == 1 and rows_[0]["history_text"] == ",".join(f"{a[0]}:{a[1]}" for a in apps)
+    assert user.user_day_history_text(s).collect() == rows_

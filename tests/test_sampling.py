@@ -14,17 +14,34 @@ def test_exact_split(spark):
     assert got == {"a": 1, "b": 3, "c": 6}
 
 
-def test_large_path_equals_small_path(spark):
-    w = spark.range(0, 5000).select(F.col("id").alias("k"), (F.col("id") % 7 + 1).alias("weight"))
-    small = sampling.weight_cumulative(w, "k")
-    large = sampling.weight_cumulative(w, "k", small_limit=1000)  # range-partitioned path
-    assert small.exceptAll(large).count() == 0 and large.exceptAll(small).count() == 0
-    total = sampling.total_weight(small)
-    draws = spark.range(0, 3000).select(sampling.draw_position(F.col("id"), total).alias("r"))
-    a = sampling.weighted_draw(draws, small, "r", "k", broadcast_limit=10**9)
-    b = sampling.weighted_draw(draws, large, "r", "k", broadcast_limit=10)  # shuffled join
-    assert a.count() == 3000
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+def _plain(weights, positions):
+    out, hi = [], 0
+    ranges = []
+    for k, w in sorted(weights):
+        ranges.append((hi, hi + w, k))
+        hi += w
+    for r in positions:
+        out += [(r, k) for lo, up, k in ranges if lo < r <= up]
+    return sorted(out)
+
+
+def test_many_partitions_equal_a_plain_draw(spark):
+    """One category holds 75 % of the weight, and half of the draws are of one position."""
+    weights = [(k, k % 7 + 1) for k in range(500)]
+    weights[100] = (100, 3 * sum(w for _, w in weights))
+    w = spark.createDataFrame(weights, "k long, weight long")
+    keep = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        cum = sampling.weight_cumulative(w, "k")
+        total = sampling.total_weight(cum)
+        positions = [(i * 7919) % total + 1 for i in range(600)] + [12] * 600 + [0, total + 1]
+        draws = spark.createDataFrame([(i, r) for i, r in enumerate(positions)] + [(9999, None)], "id long, r long")
+        got = sampling.weighted_draw(draws, cum, "r", "k")
+        assert got.columns == ["id", "r", "k"]
+        assert sorted((r["r"], r["k"]) for r in got.collect()) == _plain(weights, positions)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", keep)
 
 
 def test_zero_weights_never_drawn(spark):
@@ -37,4 +54,5 @@ def test_empty_weights_draw_nothing(spark):
     w = spark.createDataFrame([("a", 0)], "k string, weight long")
     cum = sampling.weight_cumulative(w, "k")
     draws = spark.range(0, 5).select(sampling.draw_position(F.col("id"), 0).alias("r"))
-    assert sampling.weighted_draw(draws, cum, "r", "k").count() == 0
+    drawn = sampling.weighted_draw(draws, cum, "r", "k")
+    assert drawn.count() == 0 and dict(drawn.dtypes) == {"r": "bigint", "k": "string"}

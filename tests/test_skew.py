@@ -1,7 +1,10 @@
 """A hot report holding half of all sessions: results do not depend on skew handling."""
 
+import time
+
 from usagelake.operators import app, user
 from usagelake.operators.model import Usage
+from usagelake.streaming.pipeline import with_report_texts
 
 from helpers import BASE_MS, report, reports_df
 
@@ -45,8 +48,8 @@ def test_skewed_report_same_results(spark):
     cases = {
         "history": lambda: user.user_day_history(u.sessions, u.facts),
         "app_duration": lambda: user.user_day_app_duration(u.sessions, u.facts),
-        "history_text": lambda: user.user_day_history_text(u.sessions, u.facts, page_size=500),
-        "users_text": lambda: app.app_daily_users_text(u.sessions, page_size=5),
+        "history_text": lambda: user.user_day_history_text(u.sessions, u.facts),
+        "users_text": lambda: app.app_daily_users_text(u.sessions, pages=5),
         "buckets": lambda: app.app_usage_buckets(u.sessions),
     }
     for name, fn in cases.items():
@@ -55,24 +58,33 @@ def test_skewed_report_same_results(spark):
         assert a == b, name
     hist = _run(spark, PLAIN_CONF, cases["history"])
     assert sum(1 for r in hist if r[0] == "u0") == 3000  # the hot report won and is whole
-    pages = [r for r in _run(spark, PLAIN_CONF, cases["history_text"]) if r[0] == "u0"]
-    assert [r[2] for r in pages] == [0, 1, 2, 3, 4, 5]
-    assert sum(len(r[3].split(",")) for r in pages) == 3000
+    texts = [r for r in _run(spark, PLAIN_CONF, cases["history_text"]) if r[0] == "u0"]
+    assert len(texts) == 1 and len(texts[0][2].split(",")) == 3000
 
 
-def test_hot_partition_is_split(spark):
-    u = Usage.from_reports(_reports(spark))
-    old = {k: spark.conf.get(k, None) for k in SKEW_CONF}
-    for k, v in SKEW_CONF.items():
-        spark.conf.set(k, v)
-    try:
-        df = user.user_day_history(u.sessions, u.facts)
-        df.collect()
-        plan = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
-        assert "isFinalPlan=true" in plan and "SortMergeJoin(skew=true)" in plan
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+def test_totals_of_a_report_with_many_packages(spark):
+    """The fused path's package totals equal a plain sum, in time linear in the sessions."""
+    def seconds(n):
+        apps = [(f"com.p{i * 7919 % n:06d}", BASE_MS + i, BASE_MS + i + 1500 + i % 900, "1.0", "k") for i in range(2 * n)]
+        df = with_report_texts(reports_df(spark, [report("r", 0, "u", "d", apps)])).select("pkg_totals")
+        start = time.time()
+        got = df.first()["pkg_totals"]
+        spent = time.time() - start
+        want = {}
+        for p, b, e, _, _ in apps:
+            s, m = want.get(p, (0, 0))
+            want[p] = (s + (e - b) // 1000, m + e - b)
+        assert [(r["package_name"], (r["secs"], r["ms"])) for r in got] == sorted(want.items())
+        return spent
+
+    seconds(100)
+    small, large = seconds(2_000), seconds(40_000)
+    assert large < 20 * max(small, 0.5)
+
+
+def test_reports_without_sessions_keep_their_user_days(spark):
+    u = Usage.from_reports(reports_df(spark, [
+        report("a", 0, "u1", "d1", [("com.a", BASE_MS, BASE_MS + 5, "1.0", "k")]), report("b", 1, "u1", "d1", [])]))
+    assert [r["history_text"] for r in user.user_day_history_text(u.sessions, u.facts).collect()] == [""]
+    assert [r["usage_text"] for r in user.user_day_app_duration_text(u.sessions, u.facts).collect()] == [""]
+    assert user.user_day_app_duration(u.sessions, u.facts).count() == 0

@@ -64,6 +64,7 @@ def test_refuses_store_without_checkpoint(spark, scratch):
     from test_decode import GOOD
     import json
     st = CellStore(spark, os.path.join(scratch, "s"))
+    st.create_default_tables()
     process_batch(st, spark.createDataFrame([(json.dumps(GOOD),)], "value string"), 0)
     assert st.last_batch() == 0
     os.makedirs(os.path.join(scratch, "empty-in"))
@@ -84,6 +85,39 @@ def test_ingest_seq_decides_last_report(spark, scratch):
         .withColumn("timestamp", F.to_timestamp("ts")).drop("ts")
     from usagelake.streaming.pipeline import kafka_ingest_seq
     st = CellStore(spark, os.path.join(scratch, "k"))
+    st.create_default_tables()
     process_batch(st, df, 0, ingest_seq=kafka_ingest_seq())
     got = {r["family"]: r["value"] for r in st.get("USER", "u1").collect()}
     assert got["usage_times"] == "0" and got["usage_history"] == ""
+
+
+def test_checkpoint_without_its_store_is_refused(spark, scratch):
+    src = _write_lines(spark, os.path.join(scratch, "in"), 1)
+    lines = read_report_lines(spark, src, stream=True)
+    ckpt = os.path.join(scratch, "ckpt")
+    start_stream(spark, lines, CellStore(spark, os.path.join(scratch, "a")), ckpt,
+                 trigger={"availableNow": True}).awaitTermination(300)
+    with pytest.raises(RuntimeError, match="committed batch 0"):
+        start_stream(spark, lines, CellStore(spark, os.path.join(scratch, "b")), ckpt)
+
+
+def test_files_win_by_arrival_not_by_size(spark, scratch):
+    """A small file that comes first, a large one later: the later report wins."""
+    import json
+    import time
+    from test_decode import GOOD
+    folder = os.path.join(scratch, "files")
+    os.makedirs(folder)
+    with open(os.path.join(folder, "b_first"), "w") as f:
+        f.write(json.dumps(dict(GOOD, apps=[])) + "\n")
+    time.sleep(1.1)
+    with open(os.path.join(folder, "a_second"), "w") as f:
+        for i in range(200):
+            f.write(json.dumps(dict(GOOD, user_id=f"other{i}")) + "\n")
+        f.write(json.dumps(GOOD) + "\n")
+    st = CellStore(spark, os.path.join(scratch, "st"))
+    st.create_default_tables()
+    process_batch(st, read_report_lines(spark, folder), 0)
+    got = {r["family"]: r["value"] for r in st.get("USER", GOOD["user_id"]).collect()}
+    assert got["usage_times"] == str(len(GOOD["apps"]))
+    assert not st._children(st.root + "/staging")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from usagelake.functions.expressions import duration_bucket, hour_of, trunc_seconds, week_of_month
-from usagelake.session import reusable
 
 
 def app_launches(sessions: DataFrame) -> DataFrame:
@@ -24,34 +23,26 @@ def app_daily_user_count(sessions: DataFrame) -> DataFrame:
             .agg(F.count("*").alias("users")))
 
 
-def page_of(key, pages) -> "F.Column":
+USER_PAGES = 64
+
+
+def page_of(key, pages: int) -> "F.Column":
     """Deterministic page in ``0 .. pages-1`` from the first 32 bits of md5(key)."""
     h = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint")
-    return F.pmod(h, pages)
+    return F.pmod(h, F.lit(pages))
 
 
-def app_daily_users_text(sessions: DataFrame, page_size: int = 1000,
-                         materialize: bool = True) -> DataFrame:
+def app_daily_users_text(sessions: DataFrame, pages: int = USER_PAGES) -> DataFrame:
     """The comma-joined user list per package x date, in pages.
 
-    A group with n distinct users is split into ceil(n / page_size) pages by a
-    hash of the user id, so no single text (and no single aggregation buffer)
-    grows with the data; a group under ``page_size`` users is one page, the
-    plain comma list.  Users are sorted within a page.
-    The distinct users are read twice (group sizes, then pages); with
-    ``materialize`` they are checkpointed once to the shared folder, which
-    is far smaller than re-running the sessions' lineage.
+    A user's page is a hash of the user id modulo ``pages``, whatever the
+    group's size, so a page keeps its users when a group grows; only pages
+    that hold users appear.  Raise ``pages`` for packages with very many daily
+    users.  Users are sorted within a page.
     -> ``package_name, date, page, users_text``.
     """
-    users = app_daily_users(sessions)
-    if materialize:
-        users = reusable(users)
-    sizes = users.groupBy("package_name", "date").agg(
-        F.ceil(F.count("*") / F.lit(float(page_size))).cast("bigint").alias("pages"))
-    paged = users.join(sizes, ["package_name", "date"]).withColumn(
-        "page", page_of(F.col("user_id"), F.col("pages")))
-    return paged.groupBy("package_name", "date", "page").agg(
-        F.array_join(F.sort_array(F.collect_list("user_id")), ",").alias("users_text"))
+    return sessions.groupBy("package_name", "date", page_of(F.col("user_id"), pages).alias("page")).agg(
+        F.array_join(F.sort_array(F.collect_set("user_id")), ",").alias("users_text"))
 
 
 def app_version_index(sessions: DataFrame) -> DataFrame:

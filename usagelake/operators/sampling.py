@@ -12,13 +12,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from usagelake.functions.expressions import int_div
 from usagelake.session import reusable
 
-# Up to this many categories the running sum is one window in one task and
-# the category side of a draw is broadcast; the count is checked first.
-SMALL_CATEGORIES = 200_000
-
 
 def draw_position(key, total: int, multiplier: int = 7919) -> Column:
     """Deterministic draw in ``1..total`` from an integer key column.
@@ -45,75 +40,66 @@ def total_weight(cum: DataFrame) -> int:
     return int(v or 0)
 
 
-def weight_cumulative(weights: DataFrame, keys, weight_col: str = "weight",
-                      small_limit: int = SMALL_CATEGORIES) -> DataFrame:
+def _ranged(df: DataFrame, *order: str) -> DataFrame:
+    """``df`` range-partitioned by ``order``, with its partition number in ``_pid``.
+
+    Written once to the shared checkpoint folder, so the numbers stay fixed on
+    recomputation; partitions are balanced, and AQE merges small ones.
+    """
+    return reusable(df.repartitionByRange(*order).withColumn("_pid", F.spark_partition_id()))
+
+
+def weight_cumulative(weights: DataFrame, keys, weight_col: str = "weight") -> DataFrame:
     """Running weight ranges in key order -> ``*keys, weight, lo, hi``.
 
-    Categories are first folded per key (and checkpointed).  Up to ``small_limit`` categories
-    (counted, not assumed) the running sum is a single ordered window.
-    Beyond that the table is range-partitioned by key, each partition gets a
-    local running sum, and per-partition totals (one row per partition) give
-    the offsets; the partitioned table is checkpointed to the shared
-    checkpoint folder first so partition ids stay fixed on recomputation.
+    Categories are folded per key, range-partitioned by key and summed within
+    each partition; the totals of the partitions before (one row per
+    partition) are added.  The same path serves any number of categories.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    # One row per category, read by the count, the running sum and later by
-    # the draw's total and size check: materialise it once instead of
-    # re-running the weights' lineage (for app weights, the fact table) per pass.
-    w = reusable(weight_rollup(weights, keys, weight_col))
-    n = w.count()
-    if n <= small_limit:
-        win = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        c = w.withColumn("hi", F.sum("weight").over(win).cast("bigint"))
-        return c.withColumn("lo", F.col("hi") - F.col("weight")).select(*keys, "weight", "lo", "hi")
-    parts = max(2, int(n // small_limit) + 1)
-    ranged = reusable(w.repartitionByRange(parts, *keys).withColumn("_pid", F.spark_partition_id()))
-    local_win = (Window.partitionBy("_pid").orderBy(*keys)
-                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = ranged.withColumn("_run", F.sum("weight").over(local_win))
-    totals = ranged.groupBy("_pid").agg(F.sum("weight").alias("_ptotal"))
+    ranged = _ranged(reusable(weight_rollup(weights, keys, weight_col)), *keys)
+    win = Window.partitionBy("_pid").orderBy(*keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = ranged.groupBy("_pid").agg(F.sum("weight").alias("_t"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_pid", F.coalesce(F.sum("_ptotal").over(before), F.lit(0)).alias("_off"))
-    # offsets has exactly `parts` rows: a proven bound for the broadcast.
-    c = local.join(F.broadcast(offsets), "_pid").withColumn(
+    offsets = totals.select("_pid", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_off"))
+    # one row per partition: a proven bound for the broadcast
+    c = ranged.withColumn("_run", F.sum("weight").over(win)).join(F.broadcast(offsets), "_pid").withColumn(
         "hi", (F.col("_run") + F.col("_off")).cast("bigint"))
     return c.withColumn("lo", F.col("hi") - F.col("weight")).select(*keys, "weight", "lo", "hi")
 
 
-def _bucket_width(total: int, n: int) -> int:
-    # About four buckets per category: few duplicated category rows, few
-    # candidate categories per draw.
-    return max(1, total // max(1, 4 * n))
-
-
-def weighted_draw(draws: DataFrame, cum: DataFrame, draw_col: str, keys,
-                  total: int | None = None, n_categories: int | None = None,
-                  broadcast_limit: int = SMALL_CATEGORIES) -> DataFrame:
+def weighted_draw(draws: DataFrame, cum: DataFrame, draw_col: str, keys, keep: dict | None = None) -> DataFrame:
     """Attach to each draw row the category whose range holds ``draw_col``.
 
-    A range join made into an equi-join: positions are grouped in buckets of
-    fixed width, each category row is repeated for the buckets its range
-    touches, draws join on their bucket and the exact ``lo < r <= hi`` test
-    keeps the one owner.  The category side is broadcast only under
-    ``broadcast_limit`` categories (counted); otherwise both sides shuffle on
-    the bucket, which cannot be skewed by draw keys because buckets are
-    spread evenly over positions.
+    Categories (at the first position of their range) and draws are put in one
+    order by position and range-partitioned; a draw belongs to the last
+    category at or before it in its partition, or else to the last one of the
+    partitions before.  Draws of one position are told apart by a hash of the
+    row, so neither a heavy category nor a position drawn by many rows lands
+    in one task.  ``keep`` maps further columns of ``cum`` to output names.
+    Draws outside every range (and NULL draws) are left out.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    if total is None:
-        total = total_weight(cum)
-    if n_categories is None:
-        n_categories = cum.count()
-    if n_categories == 0:
-        return draws.limit(0).select(*draws.columns, *[F.lit(None).alias(k) for k in keys])
-    width = _bucket_width(total, n_categories)
-    side = cum.select(*keys, "lo", "hi", F.explode(F.sequence(
-        int_div("lo", width), int_div(F.col("hi") - 1, width))).alias("_b"))
-    if n_categories <= broadcast_limit:
-        side = F.broadcast(side)
-    d = draws.withColumn("_b", int_div(F.col(draw_col) - 1, width))
-    j = d.join(side, "_b").filter((F.col(draw_col) > F.col("lo")) & (F.col(draw_col) <= F.col("hi")))
-    return j.drop("_b", "lo", "hi")
+    keep = keep or {}
+    cat = F.struct(*keys, "lo", "hi", *[F.col(c).alias("_keep_" + n) for c, n in keep.items()])
+    row = F.struct(*draws.columns)
+    starts = cum.select((F.col("lo") + 1).alias("_pos"), F.lit(0).alias("_kind"), F.lit(0).cast("bigint").alias("_h"),
+                        cat.alias("_cat"))
+    rows = draws.filter(F.col(draw_col).isNotNull()).select(
+        F.col(draw_col).cast("bigint").alias("_pos"), F.lit(1).alias("_kind"), F.xxhash64(row).alias("_h"),
+        row.alias("_row"))
+    ranged = _ranged(starts.unionByName(rows, allowMissingColumns=True), "_pos", "_kind", "_h")
+    last = ranged.groupBy("_pid").agg(F.max_by("_cat", F.when(F.col("_kind") == 0, F.col("_pos"))).alias("_last"))
+    earlier = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per partition: a proven bound for the broadcast
+    carry = last.select("_pid", F.last("_last", ignorenulls=True).over(earlier).alias("_carry"))
+    here = (Window.partitionBy("_pid").orderBy("_pos", "_kind")
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    x = ranged.withColumn("_own", F.last("_cat", ignorenulls=True).over(here)).filter(F.col("_kind") == 1)
+    x = x.join(F.broadcast(carry), "_pid").withColumn("_c", F.coalesce("_own", "_carry"))
+    x = x.filter((F.col("_pos") > F.col("_c.lo")) & (F.col("_pos") <= F.col("_c.hi")))
+    return x.select("_row.*", *[F.col(f"_c.{k}").alias(k) for k in keys],
+                    *[F.col(f"_c._keep_{n}").alias(n) for n in keep.values()])
 
 
 def hierarchical_draw(draws: DataFrame, weights: DataFrame, parent: str, child: str,
@@ -123,20 +109,15 @@ def hierarchical_draw(draws: DataFrame, weights: DataFrame, parent: str, child:
 
     Children are laid out in (parent, child) order, so a parent's children
     occupy one contiguous stretch of the global child ranges, starting at the
-    parent's own ``lo``.  The second draw is ``pmod(key * m, parent_total) + 1``
-    shifted by that start and resolved with the same bucketed join.
-    ``parent_draw`` must already hold a position in ``1..total``.
+    parent's own ``lo``, which the first draw carries along with the parent's
+    weight.  The second draw is ``pmod(key * m, parent_total) + 1`` shifted by
+    that start.  ``parent_draw`` must already hold a position in ``1..total``.
     """
     kids = weight_cumulative(weights, [parent, child], weight_col)
     par = weight_cumulative(weights, [parent], weight_col)
-    total = total_weight(par)
-    first = weighted_draw(draws, par, parent_draw, [parent], total=total)
-    # `first` carries no lo/hi; fetch the parent's stretch by an equi-join on
-    # the parent key (one row per parent).
-    stretch = par.select(parent, F.col("lo").alias("_plo"), F.col("weight").alias("_ptot"))
-    first = first.join(stretch, parent)
+    first = weighted_draw(draws, par, parent_draw, [parent], keep={"lo": "_plo", "weight": "_ptot"})
     k = F.col(child_draw_key).cast("bigint")
     second = first.withColumn("_r2", F.col("_plo") + F.pmod(k * F.lit(child_multiplier), F.col("_ptot")) + 1)
-    kids_side = kids.select(F.col(parent).alias("_kp"), child, "lo", "hi")
-    out = weighted_draw(second, kids_side, "_r2", ["_kp", child], total=total)
+    kids_side = kids.select(F.col(parent).alias("_kp"), child, "weight", "lo", "hi")
+    out = weighted_draw(second, kids_side, "_r2", ["_kp", child])
     return out.filter(F.col("_kp") == F.col(parent)).drop("_kp", "_r2", "_plo", "_ptot")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from usagelake.functions.expressions import int_div, pair_text, session_ms
+from usagelake.functions.expressions import pair_text
 
 
 def user_interest(sessions: DataFrame) -> DataFrame:
@@ -31,9 +31,23 @@ def last_reports(facts: DataFrame) -> DataFrame:
                     "last.duration_ms"))
 
 
-def _last_sessions(sessions: DataFrame, facts: DataFrame) -> DataFrame:
-    ids = last_reports(facts).select("report_id")
-    return sessions.join(ids, "report_id", "left_semi")
+def last_documents(sessions: DataFrame, facts: DataFrame | None = None) -> DataFrame:
+    """The sessions of the last report of each user-day, in session order.
+
+    Sessions are gathered per report (one phone's document), then ``max_by``
+    keeps the last document of a user-day: two aggregations, no join.
+    ``facts`` adds reports without sessions; leave it out when every report
+    has some.
+    -> ``user_id, date, report_id, ingest_seq, apps`` (``apps`` may be empty).
+    """
+    app = F.struct("session_seq", "package_name", "begin_time", "end_time")
+    keys = ["user_id", "date", "report_id", "ingest_seq"]
+    rows = sessions.select(*keys, app.alias("app"))
+    if facts is not None:
+        rows = rows.unionByName(facts.select(*keys, F.lit(None).cast(rows.schema["app"].dataType).alias("app")))
+    docs = rows.groupBy(*keys).agg(F.sort_array(F.collect_list("app")).alias("apps"))
+    last = F.max_by(F.struct("report_id", "ingest_seq", "apps"), F.struct("ingest_seq", "report_id"))
+    return docs.groupBy("user_id", "date").agg(last.alias("last")).select("user_id", "date", "last.*")
 
 
 def user_day_session_count(facts: DataFrame) -> DataFrame:
@@ -46,66 +60,46 @@ def user_day_duration_ms(facts: DataFrame) -> DataFrame:
     return last_reports(facts).select("user_id", "date", "duration_ms")
 
 
-def user_day_app_duration(sessions: DataFrame, facts: DataFrame) -> DataFrame:
-    """Milliseconds per package in the last report.
+def user_day_app_duration(sessions: DataFrame, facts: DataFrame | None = None) -> DataFrame:
+    """Milliseconds per package in the last report -> ``user_id, date, package_name, duration_ms``.
 
-    Aggregates to report x package first, then keeps the last reports.
-    -> ``user_id, date, package_name, duration_ms``.
+    The packages of a user-day are on its partition already, so the sum needs
+    no further exchange.
     """
-    per = sessions.groupBy("report_id", "user_id", "date", "package_name").agg(
-        F.sum(session_ms()).cast("bigint").alias("duration_ms"))
-    ids = last_reports(facts).select("report_id")
-    return per.join(ids, "report_id", "left_semi").select(
-        "user_id", "date", "package_name", "duration_ms")
-
-
-def _with_text(last: DataFrame, texts: DataFrame, name: str, with_seq: bool = False) -> DataFrame:
-    # Reports without sessions render as the empty string.
-    extra = ["ingest_seq"] if with_seq else []
-    return (last.select("user_id", "date", "report_id", *extra).join(texts, "report_id", "left")
-            .select("user_id", "date", *extra, F.coalesce(F.col(name), F.lit("")).alias(name)))
+    x = last_documents(sessions, facts).select("user_id", "date", F.explode("apps").alias("a"))
+    return x.groupBy("user_id", "date", F.col("a.package_name").alias("package_name")).agg(
+        F.sum(F.col("a.end_time") - F.col("a.begin_time")).cast("bigint").alias("duration_ms"))
 
 
-def user_day_app_duration_text(sessions: DataFrame, facts: DataFrame,
+def user_day_app_duration_text(sessions: DataFrame, facts: DataFrame | None = None,
                                with_seq: bool = False) -> DataFrame:
     """``pkg:ms,pkg:ms`` of the last report, packages sorted -> ``user_id, date, usage_text``."""
-    per = sessions.groupBy("report_id", "package_name").agg(
-        F.sum(session_ms()).cast("bigint").alias("ms"))
-    last = last_reports(facts)
-    per = per.join(last.select("report_id"), "report_id", "left_semi")
-    texts = per.groupBy("report_id").agg(F.array_join(F.transform(
-        F.sort_array(F.collect_list(F.struct("package_name", "ms"))),
-        lambda x: pair_text(x["package_name"], x["ms"])), ",").alias("usage_text"))
-    return _with_text(last, texts, "usage_text", with_seq)
+    last = last_documents(sessions, facts)
+    extra = ["ingest_seq"] if with_seq else []
+    per = last.select("user_id", "date", *extra, F.explode_outer("apps").alias("a")).groupBy(
+        "user_id", "date", *extra, F.col("a.package_name").alias("p")).agg(
+            F.sum(F.col("a.end_time") - F.col("a.begin_time")).cast("bigint").alias("ms"))
+    pairs = F.sort_array(F.collect_list(F.when(F.col("p").isNotNull(), F.struct("p", "ms"))))
+    text = F.array_join(F.transform(pairs, lambda x: pair_text(x["p"], x["ms"])), ",")
+    return per.groupBy("user_id", "date", *extra).agg(text.alias("usage_text"))
 
 
-def user_day_history(sessions: DataFrame, facts: DataFrame) -> DataFrame:
+def user_day_history(sessions: DataFrame, facts: DataFrame | None = None) -> DataFrame:
     """Sessions of the last report in order.
 
     -> ``user_id, date, session_seq, package_name, begin_time``.
     """
-    return _last_sessions(sessions, facts).select(
-        "user_id", "date", "session_seq", "package_name", "begin_time")
+    x = last_documents(sessions, facts).select("user_id", "date", F.explode("apps").alias("a"))
+    return x.select("user_id", "date", "a.session_seq", "a.package_name", "a.begin_time")
 
 
-def user_day_history_text(sessions: DataFrame, facts: DataFrame, with_seq: bool = False,
-                          page_size: int = 100_000) -> DataFrame:
-    """``pkg:begin,pkg:begin`` of the last report in session order, in pages.
+def user_day_history_text(sessions: DataFrame, facts: DataFrame | None = None,
+                          with_seq: bool = False) -> DataFrame:
+    """``pkg:begin,pkg:begin`` of the last report in session order, one text per user-day.
 
-    Page ``p`` holds the sessions with ``session_seq div page_size = p``;
-    ``session_seq`` is unique within a report, so no text or aggregation
-    buffer exceeds ``page_size`` sessions however large a report is.  The
-    pages of a report in page order concatenate (with ",") to the whole
-    history.  A report without sessions gives page 0 with "".
-    -> ``user_id, date, page, history_text``.
+    A text is as long as one report document; a report without sessions gives "".
+    -> ``user_id, date, history_text``.
     """
-    last = last_reports(facts)
-    rows = sessions.join(last.select("report_id"), "report_id", "left_semi")
-    page = int_div("session_seq", page_size).alias("page")
-    texts = rows.groupBy("report_id", page).agg(F.array_join(F.transform(
-        F.sort_array(F.collect_list(F.struct("session_seq", "package_name", "begin_time"))),
-        lambda x: pair_text(x["package_name"], x["begin_time"])), ",").alias("history_text"))
     extra = ["ingest_seq"] if with_seq else []
-    return (last.select("user_id", "date", "report_id", *extra).join(texts, "report_id", "left")
-            .select("user_id", "date", *extra, F.coalesce(F.col("page"), F.lit(0)).cast("bigint").alias("page"),
-                    F.coalesce(F.col("history_text"), F.lit("")).alias("history_text")))
+    text = F.array_join(F.transform("apps", lambda a: pair_text(a["package_name"], a["begin_time"])), ",")
+    return last_documents(sessions, facts).select("user_id", "date", *extra, text.alias("history_text"))

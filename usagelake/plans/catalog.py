@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from usagelake.operators import app, device, population, sampling, user
-from usagelake.operators.model import Usage, explode_sessions, nest_reports
-from usagelake.session import reusable
+from usagelake.operators.model import Usage, explode_sessions, facts_from_sessions, nest_reports
+from usagelake.plans.store_queries import QUERIES as STORE_QUERIES
 from usagelake.sources.fixture import table, usage_sessions
 from usagelake.streaming import cells
 from usagelake.streaming.pipeline import report_deltas
@@ -21,39 +21,30 @@ from usagelake.sources.reports import decode_status_counts, reports_decode, repo
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def usage(spark: SparkSession, sf_dir: str, reuse: bool = False) -> Usage:
-    """The fixture at both grains.
-
-    ``reuse=True`` materialises the session rows once (checkpoint to the
-    shared folder) for queries that read them in several passes, so the
-    fact-table scan and join run once.
-    """
-    s = usage_sessions(spark, sf_dir)
-    return Usage.from_sessions(reusable(s) if reuse else s)
+_S = ("report_id", "user_id", "date", "session_seq", "package_name", "begin_time", "end_time",
+      "version", "kind", "ingest_seq")
 
 
 def _s(fn) -> Query:
-    return lambda spark, d: fn(usage(spark, d).sessions)
-
+    """A query over the session grain that reads no column of the user dimension."""
+    return lambda spark, d: fn(usage_sessions(spark, d, _S))
 
-def _f(fn) -> Query:
-    return lambda spark, d: fn(usage(spark, d).facts)
 
-
-def _sf(fn) -> Query:
+def _f(fn, *columns: str) -> Query:
+    """A query over the report grain with ``columns`` beside the report's keys."""
     def q(spark, d):
-        u = usage(spark, d, reuse=True)
-        return fn(u.sessions, u.facts)
+        wanted = ("report_id", "date", "begin_time", "end_time") + columns
+        return fn(facts_from_sessions(usage_sessions(spark, d, wanted)))
     return q
 
 
 def _device(dim: str) -> Query:
-    return lambda spark, d: device.device_counts(usage(spark, d).facts, dim)
+    return _f(lambda facts: device.device_counts(facts, dim), dim)
 
 
 def sessions_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nest the fixture into report documents, then explode them again."""
-    reports = nest_reports(usage_sessions(spark, sf_dir))
+    reports = nest_reports(usage_sessions(spark, sf_dir, _S))
     return explode_sessions(reports).select(
         "report_id", "user_id", "date", "session_seq", "package_name", "begin_time",
         "end_time", "version", "kind")
@@ -78,27 +69,25 @@ def q_reports_decode(spark, d):
 
 
 def q_decode_status(spark, d):
-    """Status counts over fixture reports plus ``events.props`` texts (not reports)."""
-    lines = fixture_lines(spark, d).select("value").unionByName(
-        table(spark, d, "events").select(F.col("props").alias("value")))
+    """Status counts over fixture reports, ``events.props`` texts (JSON, no reports) and
+    ``part.p_name`` texts (no JSON)."""
+    lines = (fixture_lines(spark, d).select("value")
+             .unionByName(table(spark, d, "events").select(F.col("props").alias("value")))
+             .unionByName(table(spark, d, "part").select(F.col("p_name").alias("value"))))
     return decode_status_counts(lines)
 
 
 def two_batch_deltas(spark: SparkSession, sf_dir: str, law: str) -> DataFrame:
-    """Deltas of the fixture written as two stream batches.
+    """Deltas of the fixture as two stream batches.
 
     Batch 0 holds the slot-0 reports and batch 1 the slot-1 reports, so a
-    user-day with two reports is overwritten across batches.  The batches
-    go through the same fused code as the stream (``report_deltas`` over
-    nested report documents).
+    user-day with two reports is overwritten across batches.  The documents
+    are nested once, with the columns the law needs, and folded per batch by
+    the stream's own code.
     """
-    s = reusable(usage_sessions(spark, sf_dir))
-    out = None
-    for b in (0, 1):
-        reports = nest_reports(s.filter(F.col("ingest_seq") == b))
-        d = report_deltas(reports, laws=(law,)).withColumn("epoch", F.lit(2 * b).cast("bigint"))
-        out = d if out is None else out.unionByName(d)
-    return out
+    columns = _S if law != cells.SUM else None
+    reports = nest_reports(usage_sessions(spark, sf_dir, columns))
+    return report_deltas(reports, laws=(law,), batch=F.col("ingest_seq"))
 
 
 def q_merge_sum(spark, d):
@@ -114,7 +103,8 @@ def q_merge_last(spark, d):
 
 
 def wifi_share(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return population.conditional_share(usage(spark, sf_dir).facts, F.col("net_status") == "wifi")
+    facts = facts_from_sessions(usage_sessions(spark, sf_dir, ("report_id", "net_status", "begin_time", "end_time")))
+    return population.conditional_share(facts, F.col("net_status") == "wifi")
 
 
 # ---- weighted draws over dimension tables --------------------------------
@@ -139,12 +129,11 @@ def q_weight_cumulative(spark, d):
 
 
 def q_weighted_draw(spark, d):
-    s = usage(spark, d).sessions
-    apps = s.select("package_name", "kind", F.lit(1).alias("weight"))
+    apps = usage_sessions(spark, d, ("package_name", "kind")).select("*", F.lit(1).alias("weight"))
     cum = sampling.weight_cumulative(apps, ["package_name", "kind"])
     total = sampling.total_weight(cum)
     return sampling.weighted_draw(_order_draws(spark, d, total), cum, "r",
-                                  ["package_name", "kind"], total=total)
+                                  ["package_name", "kind"])
 
 
 def q_hierarchical_draw(spark, d):
@@ -158,7 +147,7 @@ def q_uniform_draw(spark, d):
     users = table(spark, d, "customer").select("c_custkey", F.lit(1).alias("weight"))
     cum = sampling.weight_cumulative(users, "c_custkey")
     total = sampling.total_weight(cum)
-    return sampling.weighted_draw(_order_draws(spark, d, total), cum, "r", "c_custkey", total=total)
+    return sampling.weighted_draw(_order_draws(spark, d, total), cum, "r", "c_custkey")
 
 
 QUERIES: dict[str, Query] = {
@@ -168,7 +157,7 @@ QUERIES: dict[str, Query] = {
     "aiv_resolution": _device("resolution"),
     "aiv_net_status": _device("net_status"),
     "aiv_isp": _device("isp"),
-    "aiv_all": _f(device.device_counts_all),
+    "aiv_all": _f(device.device_counts_all, *device.DEVICE_DIMENSIONS),
     "app_launches": _s(app.app_launches),
     "app_daily_users": _s(app.app_daily_users),
     "app_daily_user_count": _s(app.app_daily_user_count),
@@ -180,14 +169,14 @@ QUERIES: dict[str, Query] = {
     "app_hour_profile": _s(app.app_hour_profile),
     "app_week_profile": _s(app.app_week_profile),
     "user_interest": _s(user.user_interest),
-    "user_day_duration_ms": _f(user.user_day_duration_ms),
-    "user_day_session_count": _f(user.user_day_session_count),
-    "user_day_app_duration": _sf(user.user_day_app_duration),
-    "user_day_app_duration_text": _sf(user.user_day_app_duration_text),
-    "user_day_history": _sf(user.user_day_history),
-    "user_day_history_text": _sf(user.user_day_history_text),
+    "user_day_duration_ms": _f(user.user_day_duration_ms, "user_id", "ingest_seq"),
+    "user_day_session_count": _f(user.user_day_session_count, "user_id", "ingest_seq"),
+    "user_day_app_duration": _s(user.user_day_app_duration),
+    "user_day_app_duration_text": _s(user.user_day_app_duration_text),
+    "user_day_history": _s(user.user_day_history),
+    "user_day_history_text": _s(user.user_day_history_text),
     "group_interest": _s(population.group_interest),
-    "group_province": _f(population.group_province),
+    "group_province": _f(population.group_province, "province"),
     "group_usage_bucket": _f(population.group_usage_bucket),
     "group_hour_profile": _s(population.group_hour_profile),
     "conditional_share": wifi_share,
@@ -203,4 +192,5 @@ QUERIES: dict[str, Query] = {
     "weighted_draw": q_weighted_draw,
     "hierarchical_draw": q_hierarchical_draw,
     "uniform_draw": q_uniform_draw,
+    **STORE_QUERIES,
 }

@@ -84,12 +84,9 @@ BODIES = {
       SELECT package_name, date, CAST(count(DISTINCT user_id) AS BIGINT) AS users
       FROM sessions GROUP BY ALL""",
     "app_daily_users_text": """
-      , u AS (SELECT DISTINCT package_name, date, user_id FROM sessions),
-      z AS (SELECT package_name, date, CAST(ceil(count(*) / 1000.0) AS BIGINT) AS pages
-            FROM u GROUP BY ALL)
+      , u AS (SELECT DISTINCT package_name, date, user_id FROM sessions)
       SELECT package_name, date, page, string_agg(user_id, ',' ORDER BY user_id) AS users_text
-      FROM (SELECT u.*, CAST('0x' || substr(md5(u.user_id), 1, 8) AS BIGINT) % z.pages AS page
-            FROM u JOIN z USING (package_name, date))
+      FROM (SELECT u.*, CAST('0x' || substr(md5(u.user_id), 1, 8) AS BIGINT) % 64 AS page FROM u)
       GROUP BY package_name, date, page""",
     "app_version_index": "SELECT DISTINCT package_name, version FROM sessions",
     "app_version_launches": """
@@ -125,11 +122,11 @@ BODIES = {
       SELECT s.user_id, s.date, s.session_seq, s.package_name, s.begin_time
       FROM sessions s JOIN last l ON s.report_id = l.report_id""",
     "user_day_history_text": """
-      SELECT l.user_id, l.date, CAST(coalesce(s.session_seq // 100000, 0) AS BIGINT) AS page,
+      SELECT l.user_id, l.date,
              coalesce(string_agg(s.package_name || ':' || CAST(s.begin_time AS VARCHAR), ','
                                  ORDER BY s.session_seq), '') AS history_text
       FROM last l LEFT JOIN sessions s ON s.report_id = l.report_id
-      GROUP BY l.user_id, l.date, 3""",
+      GROUP BY l.user_id, l.date""",
     "group_interest": "SELECT date, kind, CAST(count(*) AS BIGINT) AS n FROM sessions GROUP BY ALL",
     "group_province": "SELECT date, province, CAST(count(*) AS BIGINT) AS n FROM facts GROUP BY ALL",
     "group_usage_bucket": f"""
@@ -158,7 +155,8 @@ BODIES = {
     "decode_status_counts": """
       SELECT status, CAST(count(*) AS BIGINT) AS lines FROM (
         SELECT 1 AS status FROM facts UNION ALL
-        SELECT CASE WHEN json_valid(props) THEN 0 ELSE -1 END FROM events) GROUP BY status""",
+        SELECT CASE WHEN json_valid(props) THEN 0 ELSE -1 END FROM events UNION ALL
+        SELECT CASE WHEN json_valid(p_name) THEN 0 ELSE -1 END FROM part) GROUP BY status""",
     "sessions_explode": """
       SELECT report_id, user_id, date,
              CAST(row_number() OVER (PARTITION BY report_id ORDER BY session_seq) - 1 AS BIGINT)
@@ -214,6 +212,31 @@ BODIES["merge_last"] = f"""
       FROM last l LEFT JOIN sessions s ON s.report_id = l.report_id GROUP BY l.user_id, l.date"""
 
 
+def _launch_cells(value: str, where: str = "true", having: str = "true") -> str:
+    return f"""
+      SELECT package_name AS row_key, 'click_num' AS family, date AS qualifier, 'SUM' AS law,
+             CAST({value} AS VARCHAR) AS value
+      FROM sessions WHERE {where} GROUP BY package_name, date HAVING {having}"""
+
+
+_SLOT0 = "count(*) FILTER (WHERE ingest_seq = 0)"
+_ROW = "package_name = 'com.click.a1'"
+BODIES["cell_scan"] = _launch_cells("count(*)")
+BODIES["cell_get"] = _launch_cells("count(*)", _ROW)
+BODIES["cell_put"] = _launch_cells(
+    f"CASE WHEN package_name LIKE 'com.click.%' THEN 7 ELSE count(*) END + {_SLOT0}")
+BODIES["cell_put_row"] = _launch_cells("count(*)", f"{_ROW} AND ingest_seq = 0") + """
+      UNION ALL SELECT 'com.click.a1', 'click_num', '2099-01-01', 'SUM', '100'
+      UNION ALL SELECT 'com.click.a1', 'click_num', '2099-01-02', 'SUM', '300'"""
+BODIES["cell_delete_row"] = _launch_cells("count(*)", f"NOT ({_ROW} AND ingest_seq = 0)")
+BODIES["table_drop"] = _launch_cells("count(*)", "ingest_seq = 1")
+BODIES["merge_maps"] = BODIES["app_launches"]
+BODIES["batch_sink"] = f"""
+      SELECT tbl, row_key, family, qualifier, 'SUM' AS law, CAST(value AS VARCHAR) AS value FROM ({_cells_sum()})
+      UNION ALL SELECT tbl, row_key, family, qualifier, 'UNION', member FROM ({BODIES['merge_union']})
+      UNION ALL SELECT tbl, row_key, family, qualifier, 'LAST', value FROM ({BODIES['merge_last']})"""
+
+
 def sql_for(key: str) -> str:
     body = BODIES[key].strip()
     if body.startswith(","):
@@ -232,6 +255,9 @@ cum AS (SELECT brand, model, weight,
 """
 
 DRAWS = {
+    "table_create": """
+      SELECT CAST(o_custkey AS VARCHAR) AS row_key, 'status' AS family, o_orderstatus AS qualifier, 'SUM' AS law,
+             CAST(count(*) AS VARCHAR) AS value FROM orders GROUP BY o_custkey, o_orderstatus""",
     "weight_rollup": """
       SELECT p_brand AS brand, CAST(count(*) AS BIGINT) AS weight FROM part GROUP BY ALL""",
     "weight_cumulative": _BRAND_MODEL + "SELECT brand, model, weight, hi - weight AS lo, hi FROM cum",

@@ -53,9 +53,17 @@ def user_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def usage_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+# Session columns that come from the user dimension.
+DIMENSION_COLUMNS = ("province", "city", "brand", "model", "language", "system_version", "resolution")
+
+
+def usage_sessions(spark: SparkSession, sf_dir: str, columns: tuple[str, ...] | None = None) -> DataFrame:
     """Long session rows with report attributes (see FIXTURES.md).
 
+    ``columns`` names the columns wanted (default: all).  Without a column of
+    the user dimension the events table is read alone: every event has its
+    user, so the join would keep all rows.
+
     ``ingest_seq`` is the report's slot (``event_id % 2``): within a user-day
     the slot-1 report arrived after the slot-0 one.  It only orders reports of
     the same user-day, with ``report_id`` as the tie-break.
@@ -73,24 +81,25 @@ def usage_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("kind"),
         k.alias("k"),
     )
-    dim = user_dimension(spark, sf_dir)
+    wanted = SESSION_COLUMNS if columns is None else columns
     # One equi-join of the fact table on user_id.  AQE turns it into a
     # broadcast when the dimension is small at run time and splits skewed
     # user partitions otherwise.
-    j = s.join(dim, s.user_id == dim.uid)
+    j = s
+    if set(wanted) & set(DIMENSION_COLUMNS):
+        dim = user_dimension(spark, sf_dir)
+        j = s.join(dim, s.user_id == dim.uid)
     version = (F.when(F.col("k") % 5 == 0, "1.0").when(F.col("k") % 5 == 1, "1.1")
                .when(F.col("k") % 5 == 2, "2.0").when(F.col("k") % 5 == 3, "3.0").otherwise("4.0"))
     net = F.when(F.col("user_id") % 3 == 0, "wifi").when(F.col("user_id") % 3 == 1, "4g").otherwise("3g")
-    return j.select(
-        F.concat_ws("-", "uid_s", "date", F.col("slot").cast("string")).alias("report_id"),
-        F.col("slot").alias("ingest_seq"),
-        F.col("uid_s").alias("user_id"),
-        "province", "city", "date",
-        F.col("event_id").alias("session_seq"),
-        F.concat(F.lit("com."), F.col("kind"), F.lit(".a"), (F.col("k") % 8).cast("string")).alias("package_name"),
-        "begin_time", "end_time",
-        version.alias("version"),
-        "kind", "brand", "model", "language", "system_version", "resolution",
-        net.alias("net_status"),
-        F.concat(F.lit("isp"), (F.col("user_id") % 4).cast("string")).alias("isp"),
-    )
+    made = {
+        "report_id": F.concat_ws("-", "uid_s", "date", F.col("slot").cast("string")),
+        "ingest_seq": F.col("slot"),
+        "user_id": F.col("uid_s"),
+        "session_seq": F.col("event_id"),
+        "package_name": F.concat(F.lit("com."), F.col("kind"), F.lit(".a"), (F.col("k") % 8).cast("string")),
+        "version": version,
+        "net_status": net,
+        "isp": F.concat(F.lit("isp"), (F.col("user_id") % 4).cast("string")),
+    }
+    return j.select(*[made.get(c, F.col(c)).alias(c) for c in SESSION_COLUMNS if c in wanted])

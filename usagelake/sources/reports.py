@@ -8,10 +8,11 @@ A report is one JSON object per line::
      "resolution": .., "net_status": .., "ISP": ..}
 
 Decoding is strict: every field must be present with its JSON type (strings
-as strings, times as integers); extra fields are ignored.  Each line gets a
-status: 1 accepted, 0 well-formed JSON that does not conform (dropped, like
-the original ``asOpt``), -1 malformed text (kept for quarantine instead of
-failing the job).  All checks are Variant expressions evaluated in the JVM.
+as strings, times as whole numbers, also written as ``1.0``); extra fields are
+ignored.  Each line gets a status: 1 accepted, 0 well-formed JSON that does not
+conform (dropped), -1 malformed text (kept for quarantine instead of failing
+the job).  An object that names a field twice is malformed text here.  All
+checks are Variant expressions evaluated in the JVM.
 """
 
 from __future__ import annotations
@@ -34,6 +35,14 @@ def _kind_sql(v: str, path: str) -> str:
     return f"coalesce(schema_of_variant(try_variant_get({v}, '{path}', 'variant')), '')"
 
 
+def _whole_sql(v: str, path: str) -> str:
+    """A fractional JSON number without a fraction, within the range of a bigint."""
+    kind = _kind_sql(v, path)
+    number = f"try_variant_get({v}, '{path}', 'double')"
+    return (f"(({kind} LIKE 'DECIMAL%' OR {kind} = 'DOUBLE') AND "
+            f"coalesce({number} = try_variant_get({v}, '{path}', 'bigint'), false))")
+
+
 def decode_status_sql(v: str) -> str:
     """SQL text of the status of a parsed Variant column ``v``.
 
@@ -42,7 +51,7 @@ def decode_status_sql(v: str) -> str:
     top = [f"{_kind_sql(v, '$.' + f)} = 'STRING'" for f in REPORT_STRING_FIELDS]
     top.append(f"{_kind_sql(v, '$.apps')} LIKE 'ARRAY<%'")
     per_app = [f"{_kind_sql('a', '$.' + f)} = 'STRING'" for f in APP_STRING_FIELDS]
-    per_app += [f"{_kind_sql('a', '$.' + f)} = 'BIGINT'" for f in APP_LONG_FIELDS]
+    per_app += [f"({_kind_sql('a', '$.' + f)} = 'BIGINT' OR {_whole_sql('a', '$.' + f)})" for f in APP_LONG_FIELDS]
     apps = (f"coalesce(forall(try_variant_get({v}, '$.apps', 'array<variant>'), "
             f"a -> {' AND '.join(per_app)}), false)")
     ok = " AND ".join(top + [apps])
@@ -62,8 +71,7 @@ def decode_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
     -> ``status, value`` plus the report columns (NULL unless status = 1).
     """
     keep = [c for c in lines.columns if c != value_col]
-    parsed = lines.select(*keep, value_col, F.try_parse_json(F.col(value_col)).alias("_v"))
-    with_status = parsed.withColumn("status", decode_status("_v"))
+    with_status = _with_status(lines, keep + [value_col], value_col)
     good = F.col("status") == 1
     fields = [F.when(good, F.variant_get("_v", f"$.{f}", "string")).alias(f.lower())
               for f in REPORT_STRING_FIELDS]
@@ -73,27 +81,45 @@ def decode_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
     return with_status.select(*keep, value_col, "status", *fields, F.when(good, apps).alias("apps"))
 
 
+def _with_status(lines: DataFrame, columns: list[str], value_col: str) -> DataFrame:
+    """``columns`` with the parsed Variant ``_v`` and its ``status``, each computed once per line.
+
+    Both pass through ``explode`` of a one-element array: filters and later
+    expressions read the result instead of repeating the parse.
+    """
+    parsed = lines.select(*columns, F.explode(F.array(F.try_parse_json(F.col(value_col)))).alias("_v"))
+    return parsed.select("*", F.explode(F.array(decode_status("_v"))).alias("status"))
+
+
+def arrival(lines: DataFrame) -> Column:
+    """Arrival order of lines: file time, path and block, then the place in the block.
+
+    ``lines`` from ``read_report_lines`` carry the file part; other lines are
+    ordered by their place in the input (partition, then row).
+    """
+    place = F.monotonically_increasing_id().alias("place")
+    if "arrival" in lines.columns:
+        return F.struct("arrival.file_time", "arrival.file_path", "arrival.block_start", place)
+    return F.struct(place)
+
+
 def reports_decode(lines: DataFrame, value_col: str = "value",
                    report_id: Column | None = None, ingest_seq: Column | None = None) -> DataFrame:
     """Accepted reports only (status 1).
 
     ``ingest_seq`` orders reports for last-write metrics; by default it is
-    ``monotonically_increasing_id()``, which follows file and line order and
-    is reproducible for the same input files.  ``report_id`` defaults to the
-    text of that sequence.
+    the lines' ``arrival`` order.  ``report_id`` defaults to the text of that
+    order.
     """
-    d = decode_lines(lines, value_col).filter(F.col("status") == 1)
-    seq = ingest_seq if ingest_seq is not None else F.monotonically_increasing_id()
-    d = d.withColumn("ingest_seq", seq.cast("bigint"))
+    d = decode_lines(lines.withColumn("_seq", ingest_seq if ingest_seq is not None else arrival(lines)), value_col)
+    d = d.filter(F.col("status") == 1).drop("ingest_seq").withColumnRenamed("_seq", "ingest_seq")
     rid = report_id if report_id is not None else F.col("ingest_seq").cast("string")
-    return d.withColumn("report_id", rid).drop(value_col, "status")
+    return d.withColumn("report_id", rid).drop(value_col, "status", "arrival", "source_file")
 
 
 def decode_status_counts(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """Lines per status -> ``status, lines``."""
-    parsed = lines.select(F.try_parse_json(F.col(value_col)).alias("_v"))
-    return (parsed.select(decode_status("_v").alias("status"))
-            .groupBy("status").agg(F.count("*").alias("lines")))
+    return _with_status(lines, [], value_col).groupBy("status").agg(F.count("*").alias("lines"))
 
 
 def reports_encode(reports: DataFrame, keep=("report_id",)) -> DataFrame:
@@ -112,7 +138,8 @@ def read_report_lines(spark: SparkSession, path: str, stream: bool = False,
                       max_files_per_trigger: int | None = None) -> DataFrame:
     """Newline-delimited report text from files (batch or Structured Streaming).
 
-    -> ``value`` (plus ``source_file`` for provenance).
+    -> ``value``, ``source_file`` and ``arrival`` (file time, path, block start), which
+    orders lines whatever way Spark packs files into partitions.
     """
     if stream:
         r = spark.readStream.format("text")
@@ -121,7 +148,10 @@ def read_report_lines(spark: SparkSession, path: str, stream: bool = False,
         df = r.load(path)
     else:
         df = spark.read.text(path)
-    return df.withColumn("source_file", F.col("_metadata.file_path"))
+    m = F.col("_metadata")
+    return df.select("*", m["file_path"].alias("source_file"), F.struct(
+        m["file_modification_time"].alias("file_time"), m["file_path"].alias("file_path"),
+        m["file_block_start"].alias("block_start")).alias("arrival"))
 
 
 def read_report_socket(spark: SparkSession, host: str, port: int) -> DataFrame:

@@ -43,13 +43,13 @@ LOG_SCHEMA = T.StructType(DELTA_SCHEMA.fields + [T.StructField("batch_id", T.Lon
 # The cell tables, their families and each family's merge law.
 TABLE_FAMILIES = {
     "AIV": {"brand": SUM, "model": SUM, "system_version": SUM, "resolution": SUM,
-            "net_status": SUM, "ISP": SUM, "language": SUM},
-    "SINGLE_APP": {"click_num": SUM, "day_period": SUM, "week_period": SUM, "duration": SUM,
-                   "user": UNION, "version": LAST},
+            "net_status": SUM, "language": SUM, "ISP": SUM},
+    "SINGLE_APP": {"click_num": SUM, "version": LAST, "day_period": SUM, "week_period": SUM,
+                   "user": UNION, "duration": SUM},
     "APP_VERSION": {"click_num": SUM},
     "APP_USAGE": {"1": SUM, "2": SUM, "3": SUM, "4": SUM, "5": SUM, "6": SUM},
     "USER": {"usage_duration": LAST, "usage_statistics": LAST, "usage_history": LAST,
-             "usage_times": LAST, "hobby": SUM},
+             "hobby": SUM, "usage_times": LAST},
     "USER_GROUP": {"usage": SUM, "hobby": SUM, "location": SUM, "period": SUM},
 }
 
@@ -110,9 +110,10 @@ def _sum(live: DataFrame) -> DataFrame:
 
 
 def _union(live: DataFrame) -> DataFrame:
-    member = F.when(F.col("op") == "set", F.split("text", ",")).otherwise(F.array("text"))
-    return (live.select(*CELL, F.explode(member).alias("member"))
-            .filter(F.col("member") != "").distinct())
+    # A set with an empty text is the empty set; an added member may be the empty text.
+    member = (F.when(F.col("op") != "set", F.array("text"))
+              .when(F.col("text") == "", F.array().cast("array<string>")).otherwise(F.split("text", ",")))
+    return live.select(*CELL, F.explode(member).alias("member")).filter(F.col("member").isNotNull()).distinct()
 
 
 def _last(live: DataFrame) -> DataFrame:
@@ -187,7 +188,9 @@ class CellStore:
     """Cell tables under one shared root folder.
 
     Layout: ``meta/`` (declared families), ``deltas/tbl=/batch_id=/`` (log),
-    ``snapshots/upto=N/`` (the log folded through batch N, see ``compact``).
+    ``batches/N`` (a mark for every written batch, also one without rows),
+    ``snapshots/upto=N/tbl=/`` (the log folded through batch N, see
+    ``compact``) and ``cuts/upto=N`` (the last administrative row in it).
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -196,6 +199,8 @@ class CellStore:
         self.meta_path = self.root + "/meta"
         self.delta_path = self.root + "/deltas"
         self.snap_path = self.root + "/snapshots"
+        self.cut_path = self.root + "/cuts"
+        self.mark_path = self.root + "/batches"
 
     # -- file system helpers (Hadoop FS, so HDFS / object stores work too)
     def _fs(self, path: str):
@@ -211,11 +216,21 @@ class CellStore:
         fs, p = self._fs(path)
         return fs.delete(p, True) if fs.exists(p) else False
 
-    def _children(self, path: str) -> list[str]:
+    def _children(self, path: str, files: bool = False) -> list[str]:
         fs, p = self._fs(path)
         if not fs.exists(p):
             return []
-        return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+        return [st.getPath().getName() for st in fs.listStatus(p) if files or st.isDirectory()]
+
+    def discard(self, path: str) -> None:
+        """Remove a folder of this store."""
+        if not path.startswith(self.root + "/"):
+            raise ValueError(f"{path} is not in {self.root}")
+        self._delete(path)
+
+    def committed(self, checkpoint: str) -> int:
+        """Last batch that a stream checkpoint has committed, -1 when none."""
+        return max([int(n) for n in self._children(checkpoint + "/commits", files=True) if n.isdigit()], default=-1)
 
     def latest_snapshot(self) -> int | None:
         """Largest N with a complete ``snapshots/upto=N`` (one that has ``_SUCCESS``)."""
@@ -233,6 +248,7 @@ class CellStore:
         for f, law in families.items():
             if law not in LAWS:
                 raise ValueError(f"{name}.{f}: law must be one of {LAWS}")
+        self._clear(name)
         rows = [(f, law) for f, law in families.items()]
         (self.spark.createDataFrame(rows, "family string, law string").coalesce(1)
          .write.mode("overwrite").parquet(path))
@@ -244,18 +260,32 @@ class CellStore:
                 self.create_table(t, fams)
 
     def drop_table(self, name: str) -> bool:
-        """Remove a table's declaration and log; returns False if absent."""
+        """Remove a table's declaration, log and snapshots; returns False if absent.
+
+        The declaration goes first: an undeclared table reads as empty, so a
+        drop that stops halfway shows nothing; creating the table again
+        clears what is left.
+        """
         path = f"{self.meta_path}/tbl={name}"
         if not self._exists(path):
             print(f"table {name} does not exist")
             return False
-        self._delete(f"{self.delta_path}/tbl={name}")
         self._delete(path)
+        self._clear(name)
         return True
 
+    def _clear(self, name: str) -> None:
+        self._delete(f"{self.delta_path}/tbl={name}")
+        for snap in self._children(self.snap_path):
+            self._delete(f"{self.snap_path}/{snap}/tbl={name}")
+
+    def declared(self, deltas: DataFrame) -> DataFrame:
+        """Delta rows of declared tables."""
+        return deltas.filter(F.col("tbl").isin(sorted(self.families())))
+
     def families(self) -> dict:
         """``{table: {family: law}}`` of declared tables (a few rows)."""
-        if not self._exists(self.meta_path):
+        if not self._children(self.meta_path):
             return {}
         out: dict = {}
         for r in self.spark.read.parquet(self.meta_path).collect():
@@ -271,22 +301,32 @@ class CellStore:
             d = d.filter(F.col("tbl") == tbl)  # partition pruning on tbl=
         return d
 
+    def _snapshot(self, n: int) -> DataFrame:
+        return self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.snap_path}/upto={n}")
+
+    def _cut(self, n: int) -> tuple[int, int]:
+        """Order of the last administrative row that snapshot ``n`` holds."""
+        r = self.spark.read.schema("epoch long, seq long").parquet(f"{self.cut_path}/upto={n}").first()
+        return r["epoch"], r["seq"]
+
     def log(self, tbl: str | None = None) -> DataFrame:
         """The rows a reader folds: latest snapshot plus everything after it.
 
         Without a snapshot this is the whole delta log.  With ``upto=N`` it is
-        the snapshot, stream batches after N, and administrative rows ordered
-        after batch N; partition pruning on ``batch_id`` skips the rest.
+        the snapshot, stream batches after N, and the administrative rows that
+        come after the last one folded into the snapshot, whenever they were
+        written; partition pruning on ``batch_id`` skips the rest.
         """
         d = self.deltas(tbl)
         n = self.latest_snapshot()
         if n is None:
             return d
-        snap = self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.snap_path}/upto={n}")
+        snap = self._snapshot(n)
         if tbl is not None:
             snap = snap.filter(F.col("tbl") == tbl)
-        newer = d.filter((F.col("batch_id") > n) |
-                         ((F.col("batch_id") == -1) & (F.col("epoch") > 2 * n + 1)))
+        epoch, seq = self._cut(n)
+        after = (F.col("epoch") > epoch) | ((F.col("epoch") == epoch) & (F.col("seq") > seq))
+        newer = d.filter((F.col("batch_id") > n) | ((F.col("batch_id") == -1) & after))
         return snap.unionByName(newer)
 
     def compact(self, upto: int | None = None) -> int:
@@ -295,8 +335,10 @@ class CellStore:
         SUM cells become one row with the total, UNION cells one row per
         member, LAST cells the winning row with its order; tombstones and
         overwrites at or before the point are applied and dropped.  The
-        snapshot is written to ``snapshots/upto=N``; readers only use it once
-        its ``_SUCCESS`` marker exists, so a failed compaction changes nothing.
+        snapshot is written to ``snapshots/upto=N`` by table, sorted by row
+        key; readers only use it once its ``_SUCCESS`` marker exists, so a
+        failed compaction changes nothing.  A finished snapshot is never
+        written again: later administrative rows wait for the next one.
         Returns N.  Old ``deltas`` partitions are left in place (readers skip
         them); remove them with ``purge`` once no reader needs older points.
         """
@@ -304,10 +346,18 @@ class CellStore:
         prev = self.latest_snapshot()
         if prev is not None and n < prev:
             raise ValueError(f"a snapshot through batch {prev} already exists")
+        if prev == n:
+            return n
         d = self.log().filter(((F.col("batch_id") >= 0) & (F.col("batch_id") <= n)) |
                               ((F.col("batch_id") == -1) & (F.col("epoch") <= 2 * n + 1)))
-        live = live_rows(d.drop("batch_id"))
-        laws = law_table(self.spark, {**TABLE_FAMILIES, **self.families()})
+        control = self._control(d)
+        cut = control.agg(F.max(F.struct("epoch", "seq")).alias("m")).first()["m"]
+        # no administrative row: nothing can hide another row, so no join is needed
+        live = live_rows(d.drop("batch_id"), admin=control if cut else False)
+        cut = tuple(cut) if cut else (self._cut(prev) if prev is not None else (-1, -1))
+        self.spark.createDataFrame([cut], "epoch long, seq long").coalesce(1).write.mode("overwrite").parquet(
+            f"{self.cut_path}/upto={n}")
+        laws = law_table(self.spark, self.families())
         x = live.join(F.broadcast(laws), ["tbl", "family"])
         o = _order()
         # SUM and LAST cells in one aggregation, UNION members in another.
@@ -326,7 +376,9 @@ class CellStore:
         snap = (one.unionByName(unions)
                 .withColumn("op", F.lit("add")).withColumn("batch_id", F.lit(n).cast("bigint"))
                 .select(*[f.name for f in LOG_SCHEMA.fields]))
-        snap.write.mode("overwrite").parquet(f"{self.snap_path}/upto={n}")
+        (snap.repartitionByRange("tbl", "row_key").sortWithinPartitions("tbl", "row_key")
+         .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("tbl")
+         .parquet(f"{self.snap_path}/upto={n}"))
         return n
 
     def purge(self, upto: int) -> None:
@@ -337,27 +389,33 @@ class CellStore:
             for b in self._children(f"{self.delta_path}/{t}"):
                 if b.startswith("batch_id=") and 0 <= int(b.split("=", 1)[1]) <= upto:
                     self._delete(f"{self.delta_path}/{t}/{b}")
+        for n in self._children(self.mark_path, files=True):
+            if n.isdigit() and int(n) < upto:
+                self._delete(f"{self.mark_path}/{n}")
 
     def last_batch(self) -> int:
         """Largest committed stream batch id, -1 when none.
 
-        Read from the partition folders (a listing, no scan) and the latest
-        snapshot, so it stays right after ``purge``.
+        Read from the marks of the batches (one listing, no scan) and the
+        latest snapshot, so it stays right after ``purge``.
         """
-        ids = [-1]
-        for t in self._children(self.delta_path):
-            ids += [int(b.split("=", 1)[1]) for b in self._children(f"{self.delta_path}/{t}")
-                    if b.startswith("batch_id=")]
+        ids = [int(n) for n in self._children(self.mark_path, files=True) if n.isdigit()]
         snap = self.latest_snapshot()
-        return max(ids + ([snap] if snap is not None else []))
+        return max([-1, *ids] + ([snap] if snap is not None else []))
 
     def write_batch(self, deltas: DataFrame, batch_id: int) -> None:
-        """Write one stream batch; re-running the same batch replaces its rows."""
+        """Write one stream batch; re-running the same batch replaces its rows.
+
+        ``rebalance`` makes files of the advised partition size per table:
+        small tables get one file a batch, a large one is split.
+        """
         # The writer owns the order: every row of batch n sorts after batch n-1.
         out = (as_deltas(deltas).withColumn("epoch", F.lit(2 * batch_id).cast("bigint"))
                .withColumn("batch_id", F.lit(batch_id).cast("bigint")))
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (out.hint("rebalance", "tbl").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("tbl", "batch_id").parquet(self.delta_path))
+        fs, p = self._fs(f"{self.mark_path}/{batch_id}")
+        fs.create(p, True).close()
 
     def _admin(self, rows: list) -> None:
         epoch = 2 * self.last_batch() + 1
@@ -367,7 +425,7 @@ class CellStore:
         df.write.mode("append").partitionBy("tbl", "batch_id").parquet(self.delta_path)
 
     def _law(self, tbl: str, family: str) -> str:
-        return law_of(tbl, family, self.families().get(tbl) or TABLE_FAMILIES.get(tbl, {}))
+        return law_of(tbl, family, self.families().get(tbl, {}))
 
     def put(self, tbl: str, row_key: str, family: str, qualifier: str, value) -> None:
         """Overwrite one cell (numbers for SUM, comma list for UNION, text for LAST)."""
@@ -384,14 +442,38 @@ class CellStore:
                 rows.append((tbl, row_key, family, str(q), "set", None, str(v)))
         self._admin(rows)
 
+    def put_frame(self, tbl: str, cells: DataFrame) -> None:
+        """Overwrite many cells from ``row_key, family, qualifier, value`` (value as text), in one write.
+
+        Rows of undeclared families are refused; of several rows for one cell
+        the one with the greatest value text counts.
+        """
+        laws = self.families().get(tbl, {})
+        unknown = cells.filter(~F.col("family").isin(sorted(laws))).select("family").first()
+        if unknown is not None:
+            raise KeyError(f"unknown family {tbl}.{unknown['family']}")
+        sums = [f for f, law in laws.items() if law == SUM]
+        one = cells.groupBy("row_key", "family", "qualifier").agg(F.max("value").alias("value"))
+        is_sum = F.col("family").isin(sums) if sums else F.lit(False)
+        out = one.select(
+            F.lit(tbl).alias("tbl"), F.col("row_key").cast("string"), "family", F.col("qualifier").cast("string"),
+            F.lit("set").alias("op"), F.when(is_sum, F.col("value").cast("bigint")).alias("num"),
+            F.when(~is_sum, F.col("value").cast("string")).alias("text"),
+            F.lit(2 * self.last_batch() + 1).cast("bigint").alias("epoch"),
+            F.lit(time.time_ns()).cast("bigint").alias("seq"), F.lit(-1).cast("bigint").alias("batch_id"))
+        out.write.mode("append").partitionBy("tbl", "batch_id").parquet(self.delta_path)
+
     def delete_row(self, tbl: str, row_key: str) -> None:
         """Delete every cell of a row (a tombstone; later writes show again)."""
         self._admin([(tbl, row_key, None, None, "delete", None, None)])
 
     # -- reads
     def scan(self, tbl: str) -> DataFrame:
-        """Every cell of a table as text -> ``row_key, family, qualifier, law, value``."""
-        fams = {tbl: self.families().get(tbl) or TABLE_FAMILIES.get(tbl, {})}
+        """Every cell of a table as text -> ``row_key, family, qualifier, law, value``.
+
+        An undeclared table is empty.
+        """
+        fams = {tbl: self.families().get(tbl, {})}
         d = self.log(tbl)
         m = merge_all(d.drop("batch_id"), fams, admin=self._control(d))
         return m.drop("tbl")
@@ -403,9 +485,12 @@ class CellStore:
         return d.filter(F.col("batch_id") == -1).drop("batch_id")
 
     def get(self, tbl: str, row_key: str, family: str | None = None) -> DataFrame:
-        """Cells of one row (optionally one family); an absent row is empty."""
+        """Cells of one row (optionally one family); an absent row is empty.
+
+        Snapshots are sorted by row key, so their scan skips all but one stretch.
+        """
         d = self.log(tbl).filter(F.col("row_key") == row_key)
-        fams = self.families().get(tbl) or TABLE_FAMILIES.get(tbl, {})
+        fams = self.families().get(tbl, {})
         if family is not None:
             d = d.filter(F.col("family").isNull() | (F.col("family") == family))
             fams = {family: fams[family]} if family in fams else {}
@@ -414,8 +499,9 @@ class CellStore:
     def get_family_map(self, tbl: str, row_key: str, family: str) -> DataFrame:
         """One row holding the family as a ``qualifier -> value`` map.
 
-        For SUM and LAST families (one value per qualifier).  UNION members
-        grow with the data; read them as rows with ``get`` instead.
+        For SUM and LAST families (one value per qualifier) whose qualifiers
+        are few enough for one value.  UNION members grow with the data;
+        read them as rows with ``get`` instead.
         """
         if self._law(tbl, family) == UNION:
             raise ValueError(f"{tbl}.{family} is a UNION family; read its members with get()")

@@ -24,7 +24,7 @@ from usagelake.functions.expressions import (
 )
 from usagelake.operators import app, user
 from usagelake.operators.model import Usage
-from usagelake.sources.reports import decode_lines
+from usagelake.sources.reports import arrival, decode_lines
 from usagelake.streaming.cells import CELL, LAST, SUM, UNION, CellStore, as_deltas
 
 # The AIV family each device column is written to.
@@ -91,13 +91,13 @@ def last_deltas(usage: Usage) -> DataFrame:
     ver = app.app_version_index(s).select(
         F.lit("SINGLE_APP").alias("tbl"), F.col("package_name").alias("row_key"),
         F.lit("version").alias("family"), F.col("version").alias("qualifier"),
-        F.col("version").alias("text"), F.lit(0).cast("bigint").alias("seq"))
+        F.col("version").alias("text"))
     last = user.last_reports(f)
 
     def user_cell(df: DataFrame, family: str, value: Column) -> DataFrame:
         return df.select(F.lit("USER").alias("tbl"), F.col("user_id").alias("row_key"),
                          F.lit(family).alias("family"), F.col("date").alias("qualifier"),
-                         value.cast("string").alias("text"), F.col("ingest_seq").alias("seq"))
+                         value.cast("string").alias("text"))
 
     parts = [
         ver,
@@ -105,9 +105,7 @@ def last_deltas(usage: Usage) -> DataFrame:
         user_cell(last, "usage_times", F.col("sessions")),
         user_cell(user.user_day_app_duration_text(s, f, with_seq=True), "usage_statistics",
                   F.col("usage_text")),
-        # A LAST cell holds one report's whole history, as the stream path
-        # renders it per document; one page spans the report.
-        user_cell(user.user_day_history_text(s, f, with_seq=True, page_size=2 ** 62),
+        user_cell(user.user_day_history_text(s, f, with_seq=True),
                   "usage_history", F.col("history_text")),
     ]
     out = parts[0]
@@ -183,12 +181,20 @@ def with_report_texts(reports: DataFrame) -> DataFrame:
     ``sessions`` and ``duration_ms``.  A report is one document, so this
     work is bounded by its size.
     """
-    mine = "filter(apps, a -> a.package_name = p)"
-    totals = (f"transform(array_sort(array_distinct(transform(apps, a -> a.package_name))), p -> "
-              f"named_struct('package_name', p, "
-              f"'secs', aggregate({mine}, 0L, (acc, a) -> acc + {trunc_seconds_sql('a.begin_time', 'a.end_time')}), "
-              f"'ms', aggregate({mine}, 0L, (acc, a) -> acc + (a.end_time - a.begin_time))))")
-    r = reports.withColumn("pkg_totals", F.expr(totals))
+    # Sessions sorted by package, the positions where a package starts, and
+    # one sum per stretch: linear in the sessions (after the sort), however
+    # many packages a report has.  Each step is a column of its own, so the
+    # next one reads it instead of computing it again.
+    r = reports.selectExpr(
+        "*", "array_sort(transform(apps, a -> named_struct('p', a.package_name, 's', "
+             f"{trunc_seconds_sql('a.begin_time', 'a.end_time')}, 'm', a.end_time - a.begin_time))) AS _sorted")
+    r = r.selectExpr("*", "filter(transform(_sorted, (x, i) -> "
+                          "if(i > 0 AND _sorted[i - 1].p <=> x.p, -1, i)), i -> i >= 0) AS _starts")
+    stretch = "slice(_sorted, st + 1, coalesce(get(_starts, j + 1), size(_sorted)) - st)"
+    totals = (f"transform(_starts, (st, j) -> named_struct('package_name', _sorted[st].p, "
+              f"'secs', aggregate({stretch}, 0L, (acc, x) -> acc + x.s), "
+              f"'ms', aggregate({stretch}, 0L, (acc, x) -> acc + x.m)))")
+    r = r.withColumn("pkg_totals", F.expr(totals)).drop("_sorted", "_starts")
     return r.selectExpr(
         "*",
         f"array_join(transform(pkg_totals, x -> {pair_text_sql('x.package_name', 'x.ms')}), ',') AS usage_text",
@@ -198,7 +204,7 @@ def with_report_texts(reports: DataFrame) -> DataFrame:
 
 
 def report_deltas(reports: DataFrame, tz: str = "UTC", bucket_unit: str = "ms",
-                  laws=(SUM, UNION, LAST)) -> DataFrame:
+                  laws=(SUM, UNION, LAST), batch: Column | None = None) -> DataFrame:
     """All metric deltas of a batch of nested reports in two aggregations.
 
     1. Every report emits one array of cells: its report-grain SUM cells,
@@ -207,8 +213,13 @@ def report_deltas(reports: DataFrame, tz: str = "UTC", bucket_unit: str = "ms",
        One explode and one ``groupBy(cell, text)`` fold them all.
     2. The per-user-day LAST values come from one ``max_by`` aggregation
        over report-grain structs.
+
+    ``batch`` (a column of batch numbers) folds several batches at once, each
+    by itself, and sets their epochs.
     """
-    r = with_report_texts(reports)
+    r = with_report_texts(reports if batch is None else reports.withColumn("_batch", batch))
+    by = [] if batch is None else ["_batch"]
+    epoch = F.lit(0) if batch is None else F.col("_batch") * 2
     parts = []
     cells = []
     if SUM in laws:
@@ -224,22 +235,23 @@ def report_deltas(reports: DataFrame, tz: str = "UTC", bucket_unit: str = "ms",
                      "'p', a.package_name, 'v', a.version))), x -> "
                      + _cell_sql("SINGLE_APP", "x.p", "version", "x.v", "NULL", "x.v") + ")")
     if cells:
-        x = r.selectExpr(f"explode(concat({', '.join(cells)})) AS c").select("c.*")
-        folded = x.groupBy(*CELL, "text").agg(F.sum("num").cast("bigint").alias("num"))
-        parts.append(as_deltas(folded))
+        x = r.selectExpr(*by, f"explode(concat({', '.join(cells)})) AS c").select(*by, "c.*")
+        folded = x.groupBy(*by, *CELL, "text").agg(F.sum("num").cast("bigint").alias("num"))
+        parts.append(as_deltas(folded, epoch=epoch))
     if LAST in laws:
-        last = r.groupBy("user_id", "date").agg(F.expr(
-            "max_by(named_struct('seq', ingest_seq, 'ms', duration_ms, 'n', sessions, "
+        # The batch's winner is chosen here, in arrival order; between batches the epoch decides.
+        last = r.groupBy(*by, "user_id", "date").agg(F.expr(
+            "max_by(named_struct('ms', duration_ms, 'n', sessions, "
             "'usage', usage_text, 'history', history_text), "
             "named_struct('s', ingest_seq, 'r', report_id))").alias("l"))
         u = last.selectExpr(
-            "'USER' AS tbl", "user_id AS row_key", "date AS qualifier", "l.seq AS seq",
+            *by, "'USER' AS tbl", "user_id AS row_key", "date AS qualifier",
             "inline(array("
             "named_struct('family', 'usage_duration', 'text', CAST(l.ms AS STRING)), "
             "named_struct('family', 'usage_times', 'text', CAST(l.n AS STRING)), "
             "named_struct('family', 'usage_statistics', 'text', l.usage), "
             "named_struct('family', 'usage_history', 'text', l.history)))")
-        parts.append(as_deltas(u))
+        parts.append(as_deltas(u, epoch=epoch))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -249,15 +261,9 @@ def report_deltas(reports: DataFrame, tz: str = "UTC", bucket_unit: str = "ms",
 # ---- the streaming job --------------------------------------------------
 
 def kafka_ingest_seq() -> Column:
-    """Arrival order of Kafka records: broker timestamp, then partition and offset.
-
-    Packs milliseconds (41 bits, until year 2039+), partition (10 bits) and
-    the low 12 bits of the offset into one bigint; reports of one user-day
-    arrive far enough apart that the truncated offset only breaks exact ties.
-    """
-    ms = F.unix_millis(F.col("timestamp")).cast("bigint")
-    return ((ms * F.lit(1 << 22)) + (F.pmod(F.col("partition"), F.lit(1 << 10)) * F.lit(1 << 12))
-            + F.pmod(F.col("offset"), F.lit(1 << 12))).cast("bigint")
+    """Arrival order of Kafka records: broker timestamp, then partition and offset (a struct)."""
+    return F.struct(F.unix_millis(F.col("timestamp")).alias("ms"), F.col("partition").cast("int").alias("partition"),
+                    F.col("offset").cast("bigint").alias("offset"))
 
 
 def process_batch(store: CellStore, lines: DataFrame, batch_id: int, tz: str = "UTC",
@@ -266,29 +272,27 @@ def process_batch(store: CellStore, lines: DataFrame, batch_id: int, tz: str = "
     """Decode one batch of lines and write its deltas as batch ``batch_id``.
 
     The decoded batch is first written to ``<store>/staging/batch_id=<n>``
-    (dynamic overwrite, so a retried batch replaces it) and read back.  That
-    cuts the lineage: a lost executor re-reads staged Parquet instead of the
-    source, the ingest order (``monotonically_increasing_id``) is fixed once,
-    and every metric plans against a plain scan.  Lines that did not decode
-    keep their text there and are copied to ``quarantine``.
+    (a retried batch replaces it) and read back by that path.  That cuts the
+    lineage: a lost executor re-reads staged Parquet instead of the source, the
+    arrival order is fixed once, and every metric plans against a plain scan.
+    Lines that did not decode keep their text there and are copied to
+    ``quarantine``.  The staged files go when the batch is written.
     """
-    decoded = decode_lines(lines, value_col)
-    # Default order: file and line order of this batch's input.
-    seq = ingest_seq if ingest_seq is not None else F.monotonically_increasing_id()
-    staged = decoded.select(
-        "*", seq.alias("ingest_seq")).withColumn(
+    order = ingest_seq if ingest_seq is not None else arrival(lines)
+    decoded = decode_lines(lines.withColumn("ingest_seq", order), value_col).drop("arrival", "source_file")
+    staged = decoded.withColumn(
         "report_id", F.concat_ws(":", F.lit(str(batch_id)), F.col("ingest_seq").cast("string"))
     ).withColumn(value_col, F.when(F.col("status") < 1, F.col(value_col)))
-    staging = store.root + "/staging"
-    (staged.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(staging))
-    back = store.spark.read.parquet(staging).filter(F.col("batch_id") == batch_id).drop("batch_id")
+    staging = f"{store.root}/staging/batch_id={batch_id}"
+    staged.write.mode("overwrite").parquet(staging)
+    back = store.spark.read.schema(staged.schema).parquet(staging)
     reports = back.filter(F.col("status") == 1).drop(value_col, "status")
-    store.write_batch(report_deltas(reports, tz, bucket_unit), batch_id)
+    store.write_batch(store.declared(report_deltas(reports, tz, bucket_unit)), batch_id)
     if quarantine:
         bad = back.filter(F.col("status") < 1).select("status", value_col)
         (bad.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(quarantine))
+    store.discard(staging)
 
 
 def start_stream(spark: SparkSession, lines: DataFrame, store: CellStore, checkpoint: str,
@@ -301,22 +305,29 @@ def start_stream(spark: SparkSession, lines: DataFrame, store: CellStore, checkp
     ``{"processingTime": "50 seconds"}`` or ``{"availableNow": True}``).
     ``compact_every=k`` folds the log into a snapshot after every k-th batch.
     ``ingest_seq`` orders reports within a batch (``kafka_ingest_seq()`` for
-    a Kafka source); the default is line order.
+    a Kafka source); the default is arrival order (file time, path, place).
     The checkpoint and the store must live and die together: batch ids
-    restart at 0 without a checkpoint and would overwrite old batches, so a
-    store that already holds batches with no checkpoint is refused.
+    restart at 0 without a checkpoint and would overwrite old batches, and a
+    checkpoint without its store would leave earlier batches out.  Both are
+    refused.
     """
+    committed = store.committed(checkpoint)
     if store.last_batch() >= 0 and not store._exists(checkpoint + "/offsets"):
         raise RuntimeError("store has batches but the checkpoint is missing; refusing to start")
+    if committed > store.last_batch():
+        raise RuntimeError(f"the checkpoint has committed batch {committed}, the store ends at batch "
+                           f"{store.last_batch()}; refusing to start")
     store.create_default_tables()
 
     def run(df: DataFrame, batch_id: int) -> None:
         process_batch(store, df, batch_id, tz, bucket_unit, quarantine, ingest_seq=ingest_seq)
         # Fold the log every `compact_every` batches so reads stay bounded by
-        # the state size, not by the number of batches.  A replayed batch
-        # rewrites its partition and re-runs the same compaction.
+        # the state size, not by the number of batches, and remove what was
+        # folded.  A replayed batch rewrites its partition, which readers skip
+        # behind the snapshot, and finds the compaction done.
         if compact_every and (batch_id + 1) % compact_every == 0:
             store.compact(batch_id)
+            store.purge(batch_id)
 
     w = lines.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     if query_name:
