@@ -15,6 +15,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -40,7 +41,7 @@ WELL_FILLED = 0.97
 _PLAIN = re.compile(rb"(?:[\n\x20-\x7e]++|\xc2[\xa1-\xac\xae-\xbf]|[\xc3-\xc8][\x80-\xbf]|\xc9[\x80-\x8f])*+\Z")
 _SPECIAL = b"<|endoftext|>"
 _LONG_RUN = 400
-ENCODE_BYTES = 1 << 24  # text encoded at a time: the longer, the fewer parts are new
+ENCODE_BYTES = 1 << 22  # text encoded at a time: the longer, the fewer parts are new, and the more memory
 
 
 def tokenizer_path(name: str) -> str:
@@ -57,8 +58,7 @@ class Encoder:
     """
 
     def __init__(self, path: str, ranks: str | None = None):
-        from tokenizers import Tokenizer
-        self.full = Tokenizer.from_file(path)
+        self.path = path
         self.fast = None
         if ranks:
             import base64
@@ -73,6 +73,12 @@ class Encoder:
             for raw, k in merges.items():
                 self.size[k] = len(raw)
 
+    @cached_property
+    def full(self):
+        """The tokenizer file's own encoder, read when a text needs it."""
+        from tokenizers import Tokenizer
+        return Tokenizer.from_file(self.path)
+
     def texts(self, buf: np.ndarray, off: np.ndarray) -> Iterator[np.ndarray]:
         """The ids of every text of a buffer."""
         data, n = buf.tobytes(), len(off) - 1
