@@ -100,7 +100,8 @@ def grid_cells(distinct: DataFrame, max_distance: int) -> DataFrame:
 
 def _linked(fp: np.ndarray, max_distance: int) -> Iterator[tuple[int, int]]:
     """Star edges joining the fingerprints of one cell that are chained by links."""
-    e = embedding(fp.view(np.uint64))
+    bits = fp.view(np.uint64)
+    e = embedding(bits)
     left = np.arange(len(fp))
     while len(left) > 1:
         root, left = left[0], left[1:]
@@ -108,7 +109,7 @@ def _linked(fp: np.ndarray, max_distance: int) -> Iterator[tuple[int, int]]:
         while front and len(left):
             at = front.pop()
             near = np.abs(e[left] - e[at]).sum(axis=1, dtype=np.int16) <= max_distance
-            near[near] = np.bitwise_count(fp[left[near]] ^ fp[at]) <= max_distance
+            near[near] = np.bitwise_count(bits[left[near]] ^ bits[at]) <= max_distance
             found = left[near]
             if len(found):
                 left = left[~near]

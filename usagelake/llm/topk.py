@@ -61,12 +61,13 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int = K, segments: int = SEGM
 
     ``codes`` and ``queries`` hold ``id, code``; a row is no answer to a query of its own
     id.  Order is by Hamming distance, then id; fewer than ``k`` answers only where
-    there are fewer other rows.  Rows with a null id or code are left out.
+    there are fewer other rows.  Rows with a null id or code are left out; queries
+    that repeat are asked once, and each different code of an id is a query.
     """
     spark = codes.sparkSession
     width = BITS // segments
     codes = codes.where("id is not null and code is not null")
-    queries = queries.where("id is not null and code is not null")
+    queries = queries.where("id is not null and code is not null").select("id", "code").distinct()
     entries = staged(first_ids(codes, k + 1), "codes")
     segment = lambda c: F.explode(F.array(*[
         F.struct(F.lit(s).alias("s"), _part(F.col(c), s, width).alias("v")) for s in range(segments)]))
@@ -94,7 +95,7 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int = K, segments: int = SEGM
     near = near.withColumn("place", place).where(F.col("place") <= k + 1)
     answers = queries.select(F.col("id").alias("query_id"), F.col("code").alias("q")).join(near, "q").where(
         "id <> query_id")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "id"))
+    rank = F.row_number().over(Window.partitionBy("query_id", "q").orderBy("distance", "id"))
     return answers.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "id", "distance")
 
 
@@ -108,9 +109,9 @@ ORACLE_SQL = f"""
 WITH v AS (SELECT vec_id, list_transform(range(1, {BITS + 1}), lambda i:
     coalesce(embedding[i] > 0 AND NOT isnan(embedding[i]), false)) AS b
   FROM embeddings WHERE embedding IS NOT NULL AND vec_id IS NOT NULL),
-p AS (SELECT q.vec_id AS query_id, v.vec_id AS id,
+p AS (SELECT q.vec_id AS query_id, q.b, v.vec_id AS id,
     list_sum(list_transform(range(1, {BITS + 1}), lambda i: CASE WHEN q.b[i] <> v.b[i] THEN 1 ELSE 0 END))::INTEGER AS distance
-  FROM v q JOIN v ON q.vec_id % 50 = 0 AND q.vec_id <> v.vec_id),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, id)::INTEGER AS rank FROM p)
+  FROM (SELECT DISTINCT vec_id, b FROM v) q JOIN v ON q.vec_id % 50 = 0 AND q.vec_id <> v.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id, b ORDER BY distance, id)::INTEGER AS rank FROM p)
 SELECT query_id, rank, id, distance FROM r WHERE rank <= {K}
 """
