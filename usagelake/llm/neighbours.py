@@ -21,7 +21,7 @@ _COLUMNS = ("key", "doc_id", "pos", "first_doc", "first_pos", "prev_doc", "prev_
 _SCHEMA = ", ".join(f"{c} long" for c in _COLUMNS) + ", many boolean, edge boolean, part int, last boolean"
 
 
-def _compare(key, doc, pos, part: int) -> pa.RecordBatch:
+def _compare(key, doc, pos, part: int, by_rank: bool) -> pa.RecordBatch:
     """Runs of equal keys in one sorted partition: rows of runs of several documents, and of its ends."""
     order = np.lexsort((pos, doc, key))
     key, doc, pos = key[order], doc[order], pos[order]
@@ -38,20 +38,29 @@ def _compare(key, doc, pos, part: int) -> pa.RecordBatch:
     before = np.maximum.accumulate(np.where(new_doc, index, 0)) - 1  # last row of the document before
     has_prev = before >= start
     before = np.maximum(before, 0)
+    first = start
+    if by_rank:  # the n-th occurrence in a document goes with the n-th in the other, or its last
+        own = np.maximum.accumulate(np.where(new_doc, index, 0))
+        stop = np.append(np.flatnonzero(new_doc)[1:], n)[np.cumsum(new_doc) - 1] - 1
+        rank = index - own
+        first = np.minimum(start + rank, stop[start])
+        before = np.minimum(own[before] + rank, before)
     keep = many | edge
     none = ~has_prev[keep]
     last = (index == n - 1)[keep]
-    cols = [pa.array(c[keep]) for c in (key, doc, pos, doc[start], pos[start])]
+    cols = [pa.array(c[keep]) for c in (key, doc, pos, doc[first], pos[first])]
     cols += [pa.array(c[before][keep], mask=none) for c in (doc, pos)]
     cols += [pa.array(many[keep]), pa.array(edge[keep]), pa.array(np.full(int(keep.sum()), part, np.int32)),
              pa.array(last)]
     return pa.RecordBatch.from_arrays(cols, [*_COLUMNS, "many", "edge", "part", "last"])
 
 
-def neighbours(occurrences: DataFrame, name: str) -> DataFrame:
+def neighbours(occurrences: DataFrame, name: str, by_rank: bool = False) -> DataFrame:
     """Rows whose key occurs in several documents, with the key's first occurrence
     (``first_doc, first_pos``) and the last one of the document before (``prev_doc, prev_pos``, null for the
-    first document).  ``occurrences`` must be a written table without nulls.
+    first document).  ``by_rank`` takes the n-th occurrence of the other document for a
+    document's n-th (the last if it has fewer; the key's first one and the document before's
+    last one across the end of a partition).  ``occurrences`` must be a written table without nulls.
     """
     spark = occurrences.sparkSession
     arrow_limits(spark)
@@ -61,7 +70,7 @@ def neighbours(occurrences: DataFrame, name: str) -> DataFrame:
     def run(batches):
         got = [[b.column(i).to_numpy(zero_copy_only=False) for i in range(3)] for b in batches if b.num_rows]
         if got:
-            whole = _compare(*(np.concatenate(c) for c in zip(*got)), TaskContext.get().partitionId())
+            whole = _compare(*(np.concatenate(c) for c in zip(*got)), TaskContext.get().partitionId(), by_rank)
             for i in range(0, whole.num_rows, 1 << 17):
                 yield whole.slice(i, 1 << 17)
 
@@ -87,8 +96,10 @@ def neighbours(occurrences: DataFrame, name: str) -> DataFrame:
             part = b.column("part").to_numpy(zero_copy_only=False)
             first = [x.copy() for x in c[3:]]
             if len(edge):
-                at = np.searchsorted(heads[:, 0], c[0][edge])
-                first[0][edge], first[1][edge], many[edge] = heads[at, 1], heads[at, 2], heads[at, 3] != 0
+                head = heads[np.searchsorted(heads[:, 0], c[0][edge])]
+                many[edge] = head[:, 3] != 0
+                over = first[0][edge] != head[:, 1]  # the run began in a partition before
+                first[0][edge[over]], first[1][edge[over]] = head[over, 1], head[over, 2]
             for p in np.unique(part[edge]).tolist():
                 at = int(np.searchsorted(tails[:, 0], p)) - 1
                 if at >= 0:  # rows of the partition's first document whose key the partition before ends with
