@@ -15,9 +15,9 @@ from usagelake.session import shared_dir
 # Rows of long texts must not pile up in one Arrow batch: batches are cut by
 # bytes, and the numpy work inside a task runs on slices of CHUNK_BYTES (one
 # document more than that is a slice of its own).
-ARROW_BATCH_BYTES = "8m"
+ARROW_BATCH_BYTES = "4m"
 ARROW_BATCH_ROWS = "2000"
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from usagelake.llm.common import arrow_limits, fresh, utf8
+from usagelake.llm.common import arrow_limits, utf8
 
 KINDS = ("email", "ip", "card", "phone")
 MAX_UNITS = 16
@@ -378,28 +378,27 @@ def redacted(docs: DataFrame, weights: np.ndarray | None = None) -> DataFrame:
 
     Spans that overlap are replaced together under the first one's kind.  Null texts stay null.
     """
-    spans = pii_spans(docs, weights, (fresh(docs, "_base"), fresh(docs, "_spans")))
+    spark = docs.sparkSession
+    arrow_limits(spark)
+    w = train(training_regions(docs)) if weights is None else np.asarray(weights)
     names, at = docs.columns, docs.columns.index("text")
 
     def run(batches):
         for b in batches:
-            text = b.column(at).to_pylist()
-            found = b.column(len(names) + 1).to_pylist()
-            for n, (t, marks) in enumerate(zip(text, found)):
-                if not marks:
-                    continue
+            texts = b.column(at).to_pylist()
+            for n, text in enumerate(texts):
                 out, done = [], 0
-                for x in marks.split(","):
-                    kind, s, e = x.split(":")
-                    if int(s) >= done:
-                        out += [t[done:int(s)], f"<{kind.upper()}>"]
-                    done = max(done, int(e))
-                text[n] = "".join(out) + t[done:]
-            cols = [*b.columns[:len(names)]]
-            cols[at] = pa.array(text, b.schema.field(at).type)
+                for s, k, e in all_spans(text, base_spans(text), w) if text else ():
+                    if s >= done:
+                        out += [text[done:s], f"<{KINDS[k].upper()}>"]
+                    done = max(done, e)
+                if out:
+                    texts[n] = "".join(out) + text[done:]
+            cols = [*b.columns]
+            cols[at] = pa.array(texts, b.schema.field(at).type)
             yield pa.RecordBatch.from_arrays(cols, names)
 
-    return spans.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op2(docs: DataFrame) -> DataFrame:

@@ -103,8 +103,8 @@ def ftrl(rows, bits: int = BITS, epochs: int = EPOCHS) -> np.ndarray:
         w = -(zi - np.sign(zi) * L1) / ((BETA + np.sqrt(n[i])) / ALPHA + L2)
         return np.where(np.abs(zi) <= L1, 0.0, w)
 
-    bias = np.array([size - 1])
-    rows = [(np.concatenate((i, bias)), np.concatenate((v, [1.0])), y) for i, v, y in rows]
+    bias, one = np.array([size - 1], np.int32), np.ones(1, np.float32)
+    rows = [(np.concatenate((i, bias)), np.concatenate((v, one)), y) for i, v, y in rows]
     for _ in range(epochs):
         for i, v, y in rows:
             w = weights(i)
@@ -134,12 +134,13 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", bits: int
     vectors = _sparse_rows(rows, bits).orderBy("key", "label").limit(sample_rows)
 
     def fit(batches):
-        got = []
-        for b in batches:
-            y = b.column("label").to_numpy(zero_copy_only=False)
-            for k in range(b.num_rows):
-                got.append((b.column("idx")[k].values.to_numpy(), b.column("val")[k].values.to_numpy(), y[k]))
-        yield pa.RecordBatch.from_arrays([pa.array([ftrl(got, bits).tobytes()], pa.binary())], ["w"])
+        def rows():  # a row's arrays are read from its batch, which then goes
+            for b in batches:
+                y = b.column("label").to_numpy(zero_copy_only=False)
+                for k in range(b.num_rows):
+                    yield b.column("idx")[k].values.to_numpy(), b.column("val")[k].values.to_numpy(), int(y[k])
+
+        yield pa.RecordBatch.from_arrays([pa.array([ftrl(rows(), bits).tobytes()], pa.binary())], ["w"])
 
     model = vectors.coalesce(1).mapInArrow(fit, "w binary").first()
     return np.frombuffer(bytes(model["w"]), np.float32)
