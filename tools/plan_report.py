@@ -1,4 +1,4 @@
-"""Summarise the physical plan of every registered query.
+"""Summarise the physical plan of every registered query of the library.
 
 Usage: python tools/plan_report.py [sf_dir] [--no-broadcast] [key ...]
 
@@ -45,10 +45,10 @@ def main():
     sf_dir = args[0] if args else "/root/testdata/sf0.01"
     keys = args[1:]
     extra = {"spark.sql.autoBroadcastJoinThreshold": "-1"} if "--no-broadcast" in sys.argv else {}
-    spark = build_session("local[8]", 8, extra=extra)
-    import __spark_entry__ as E
+    spark = build_session("local[4]", 8, extra=extra)
+    from usagelake.plans.catalog import QUERIES
     print(f"# plans at {sf_dir} broadcast={'off' if extra else 'size-checked'}")
-    for k, fn in E.queries().items():
+    for k, fn in QUERIES.items():
         if keys and k not in keys:
             continue
         s = summary(explain_text(fn(spark, sf_dir)))
