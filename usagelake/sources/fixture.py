@@ -89,6 +89,7 @@ def usage_sessions(spark: SparkSession, sf_dir: str, columns: tuple[str, ...] |
     if set(wanted) & set(DIMENSION_COLUMNS):
         dim = user_dimension(spark, sf_dir)
         j = s.join(dim, s.user_id == dim.uid)
+    # The app versions, in order.
     version = (F.when(F.col("k") % 5 == 0, "1.0").when(F.col("k") % 5 == 1, "1.1")
                .when(F.col("k") % 5 == 2, "2.0").when(F.col("k") % 5 == 3, "3.0").otherwise("4.0"))
     net = F.when(F.col("user_id") % 3 == 0, "wifi").when(F.col("user_id") % 3 == 1, "4g").otherwise("3g")
