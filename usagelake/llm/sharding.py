@@ -19,7 +19,7 @@ from usagelake.llm.mixing import WORD
 SHARDS = 40
 BUNDLES = 16_384
 OVERHEAD = 16
-PIECES_PER_SHARD = 64
+PIECES_PER_SHARD = 4
 ROWS_PER_RUN = 200_000
 LOADS = ["size", "tokens", "n"]
 
