@@ -80,7 +80,8 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int = K, segments: int = SEGM
         probes = open_.select("q", segment("q").alias("e")).select(
             "q", "e.s", F.explode(F.transform(ball(width, r), lambda m: F.col("e.v").bitwiseXOR(m))).alias("v"))
         away = F.bit_count(F.col("q").bitwiseXOR(F.col("code")))
-        near = probes.join(index, (probes["s"] == index["s"]) & (probes["v"] == index["v"]) & (away > covered - segments) & (away <= covered)).select(
+        # Spark's size estimate does not know how many probes a query explodes to: never broadcast them
+        near = probes.hint("merge").join(index, (probes["s"] == index["s"]) & (probes["v"] == index["v"]) & (away > covered - segments) & (away <= covered)).select(
             "q", "code", "n", "first", away.alias("distance"))
         near = (near if found is None else near.unionByName(found)).distinct()
         # a row of the answer lies in one of the k + 1 codes that come first by distance and smallest id
