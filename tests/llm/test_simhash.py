@@ -85,3 +85,17 @@ def test_one_document_of_each_class_stays(spark, documents, odd, tmp_path):
     assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 4, 5, 7, 8]
     got = {r.doc_id for r in simhash.deduplicated(documents).collect()}
     assert got == {r.doc_id for r in simhash.op7(documents).where("doc_id = component_id").collect()}
+
+
+def test_rows_that_stay_do_not_depend_on_file_splits(spark, tmp_path):
+    rng = np.random.default_rng(8)
+    texts = [" ".join(f"u{w}" for w in rng.integers(0, 10_000, 30)) for _ in range(40)]
+    path = str(tmp_path / "docs")
+    spark.createDataFrame([(i, texts[i % 40]) for i in range(60)], "doc_id long, text string").repartition(
+        3, "doc_id").write.parquet(path)
+    kept = simhash.deduplicated(spark.read.parquet(path))
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")  # all files in one partition from here on
+    try:
+        assert sorted(r.doc_id for r in kept.collect()) == list(range(40))
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")

@@ -48,9 +48,9 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
     return int.from_bytes(np.packbits(counts * 2 > n).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """``doc_id, fp, row`` for every row of ``docs``: the fingerprint as a signed long, and a row number
-    that a second read of the same files gives again."""
+def fingerprints(docs: DataFrame, shingle: int = 3, row: str | None = None) -> DataFrame:
+    """``doc_id, fp, row`` for every row of ``docs``: the fingerprint as a signed long, and the number in its
+    column ``row`` (without one, a number of this read only)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -61,8 +61,9 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
                                              ["doc_id", "fp", "row"])
 
     arrow_limits(docs.sparkSession)
+    number = F.col(row) if row else F.monotonically_increasing_id()
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"),
-                       F.monotonically_increasing_id().alias("row")).mapInArrow(run, "doc_id long, fp long, row long")
+                       number.alias("row")).mapInArrow(run, "doc_id long, fp long, row long")
 
 
 def embedding(fp: np.ndarray, segment_bits: int = SEGMENT_BITS) -> np.ndarray:
@@ -163,14 +164,14 @@ def grid_links(distinct: DataFrame, max_distance: int, cell_block: int = CELL_BL
     return held.repartition("g").sortWithinPartitions("g", "fp").mapInArrow(run, "a long, b long")
 
 
-def simhash_classes(docs: DataFrame, shingle: int = 3, max_distance: int = 3) -> DataFrame:
+def simhash_classes(docs: DataFrame, shingle: int = 3, max_distance: int = 3, row: str | None = None) -> DataFrame:
     """``doc_id, fp, row, component_id`` for every row: the smallest doc_id reachable by links.
 
     Null and empty texts have fingerprint zero and link like any other; repeated
     rows share a fingerprint; a null doc_id keeps its row and counts last as a
     representative; an empty table gives no rows.  Extra columns are ignored.
     """
-    fps = staged(fingerprints(docs, shingle), "simhash")
+    fps = staged(fingerprints(docs, shingle, row), "simhash")
     heads = staged(fps.groupBy("fp").agg(F.min("doc_id").alias("head")), "simhash-heads")
     links = components(grid_links(heads, max_distance))
     lead = links.join(heads, links["node"] == heads["fp"]).select("root", "node", "head")
@@ -184,13 +185,14 @@ def simhash_classes(docs: DataFrame, shingle: int = 3, max_distance: int = 3) ->
 def deduplicated(docs: DataFrame) -> DataFrame:
     """One row of each class, that of the smallest doc_id (its first row if repeated), columns unchanged.
 
-    ``docs`` must be a written table: its rows are numbered in two reads.
+    The rows are numbered once and written with their numbers, so the fingerprints
+    and the rows that stay are read from one table, however files are split later.
     """
     row = fresh(docs, "_row")
-    first = simhash_classes(docs).groupBy("component_id").agg(
+    numbered = staged(docs.withColumn(row, F.monotonically_increasing_id()), "simhash-docs")
+    first = simhash_classes(numbered, row=row).groupBy("component_id").agg(
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("m"))
-    return docs.withColumn(row, F.monotonically_increasing_id()).join(
-        first.select(F.col("m.row").alias(row)), row, "left_semi").select(*docs.columns)
+    return numbered.join(first.select(F.col("m.row").alias(row)), row, "left_semi").select(*docs.columns)
 
 
 def op7(docs: DataFrame) -> DataFrame:
