@@ -1,5 +1,6 @@
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -37,3 +38,10 @@ def test_odd_rows(spark, odd, empty):
     assert {(r.score, r.predicted) for r in none} == {(0.5, 1)}
     assert quality.accepted(odd, labels.where("false")).columns == odd.columns
     assert quality.accepted(odd, labels.where("false")).exceptAll(odd).count() == 0
+
+
+def test_words_shapes_and_repeats_count_by_ones_twos_and_threes():
+    texts = [b"one two three four", b"a b", b"", b"x"]
+    buf = np.frombuffer(b"".join(texts), np.uint8)
+    offsets = np.cumsum([0, *map(len, texts)])
+    assert quality.features(buf, offsets)[2].tolist() == [3 * (4 + 3 + 2), 3 * (2 + 1), 0, 3]
