@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from usagelake.session import shared_dir
 
@@ -42,14 +42,32 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Remove one of this subpackage's folders in the shared folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    if path.getName().startswith("llm-"):
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_staged(df: DataFrame) -> None:
     """Remove the files of a staged table that nothing reads any more."""
     spark = df.sparkSession
-    jvm = spark._jvm
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        if path.getName().startswith("llm-"):
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete_folder(spark, folder)
+
+
+def by_weight(left: DataFrame, right: DataFrame, keys: list[str], weight: str, total: int, how: str = "inner",
+              heavy: int = 1000) -> DataFrame:
+    """``left`` joined with ``right`` (one row a key) although some keys hold much of ``left``.
+
+    ``weight`` is a column of ``right``: how many of the ``total`` rows of ``left`` have the
+    key.  Keys with more than one of ``heavy`` parts of all rows, which are fewer than
+    ``heavy``, are broadcast; the rows of the others are shuffled.  ``how``: inner or left.
+    """
+    big = F.col(weight) * heavy > F.lit(total)
+    few, many = right.where(big), right.where(~big)
+    rest = left.join(F.broadcast(few.select(*keys)), keys, "left_anti")
+    return left.join(F.broadcast(few), keys).unionByName(rest.join(many, keys, how))
 
 
 def merged(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.Table]:
