@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from usagelake.llm import (
-    chaining, cover_tree, lines, mixing, packing, pii, quality, sharding, simhash, suffix_array, topk)
+    chaining, collocations, cover_tree, lines, mixing, packing, pii, quality, sharding, simhash, suffix_array, topk)
 from usagelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,10 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.op11(table(spark, sf_dir, "documents"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.op12(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_suffix_array": op1_suffix_array,
     "op2_pii": op2_pii,
@@ -69,10 +73,12 @@ QUERIES: dict[str, Query] = {
     "op9_cover_tree": op9_cover_tree,
     "op10_topk": op10_topk,
     "op11_line_dedup": op11_line_dedup,
+    "op12_collocations": op12_collocations,
 }
 
 ORACLES: dict[str, str] = {
     "op6_mixing": mixing.ORACLE_SQL,
     "op10_topk": topk.ORACLE_SQL,
     "op11_line_dedup": lines.ORACLE_SQL,
+    "op12_collocations": collocations.ORACLE_SQL,
 }

@@ -34,12 +34,15 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def split_words(buf: np.ndarray, offsets: np.ndarray):
-    """Byte starts and ends of all words, and the first word of each document."""
+def split_words(buf: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPACE):
+    """Byte starts and ends of all words, and the first word of each document.
+
+    ``between`` marks the bytes that belong to no word.
+    """
     if len(buf) == 0:
         z = np.zeros(0, np.int64)
         return z, z, np.zeros(len(offsets), np.int64)
-    word = ~SPACE[buf]
+    word = ~between[buf]
     before = np.empty_like(word)
     before[0] = False
     before[1:] = word[:-1]
