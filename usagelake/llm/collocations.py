@@ -119,16 +119,19 @@ def _has(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
 def _active(w: np.ndarray, new: np.ndarray, old: np.ndarray | None, longest: int):
     """Active phrases of a word stream by length -> ``k, places, hashes, active under old``.
 
-    A phrase of k >= 2 words is active under a filter that holds both its subphrases.
+    Words are active.  A phrase of k >= 2 words is active under a filter if both its
+    subphrases are active under it and held by it.
     """
     at = np.flatnonzero(w)
     h = w[at]
+    was = np.full(len(h), old is not None)
     for k in range(2, longest + 1):
         inside = _has(new, h)
-        at, h = at[inside], h[inside]
-        before = _has(old, h) if old is not None else np.zeros(len(h), bool)
+        at, h, was = at[inside], h[inside], was[inside]
+        if old is not None:
+            was = was & _has(old, h)
         pair = np.flatnonzero(np.diff(at) == 1)
-        at, was = at[pair], before[pair] & before[pair + 1]
+        at, was = at[pair], was[pair] & was[pair + 1]
         h = mix(h[pair] * _BASE + w[at + k - 1])
         yield k, at, h, was
 
