@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from usagelake.llm import (
-    chaining, collocations, cover_tree, lines, mixing, packing, pii, quality, sharding, simhash, suffix_array, topk)
+    chaining, collocations, cover_tree, lines, mixing, packing, pii, quality, sharding, simhash, suffix_array, topk,
+    trie)
 from usagelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +62,10 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.op12(table(spark, sf_dir, "documents"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.op13(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_suffix_array": op1_suffix_array,
     "op2_pii": op2_pii,
@@ -74,6 +79,7 @@ QUERIES: dict[str, Query] = {
     "op10_topk": op10_topk,
     "op11_line_dedup": op11_line_dedup,
     "op12_collocations": op12_collocations,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLES: dict[str, str] = {
@@ -81,4 +87,5 @@ ORACLES: dict[str, str] = {
     "op10_topk": topk.ORACLE_SQL,
     "op11_line_dedup": lines.ORACLE_SQL,
     "op12_collocations": collocations.ORACLE_SQL,
+    "op13_prefix_trie": trie.ORACLE_SQL,
 }
