@@ -43,7 +43,7 @@ def total_weight(cum: DataFrame) -> int:
 def _ranged(df: DataFrame, *order: str) -> DataFrame:
     """``df`` range-partitioned by ``order``, with its partition number in ``_pid``.
 
-    Written once to the shared checkpoint folder, so the numbers stay fixed on
+    Written once to the shared folder, so the numbers stay fixed on
     recomputation; partitions are balanced, and AQE merges small ones.
     """
     return reusable(df.repartitionByRange(*order).withColumn("_pid", F.spark_partition_id()))
@@ -57,7 +57,7 @@ def weight_cumulative(weights: DataFrame, keys, weight_col: str = "weight") -> D
     partition) are added.  The same path serves any number of categories.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    ranged = _ranged(reusable(weight_rollup(weights, keys, weight_col)), *keys)
+    ranged = _ranged(weight_rollup(weights, keys, weight_col), *keys)
     win = Window.partitionBy("_pid").orderBy(*keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     totals = ranged.groupBy("_pid").agg(F.sum("weight").alias("_t"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -114,7 +114,8 @@ def hierarchical_draw(draws: DataFrame, weights: DataFrame, parent: str, child:
     that start.  ``parent_draw`` must already hold a position in ``1..total``.
     """
     kids = weight_cumulative(weights, [parent, child], weight_col)
-    par = weight_cumulative(weights, [parent], weight_col)
+    par = kids.groupBy(parent).agg(F.sum("weight").cast("bigint").alias("weight"), F.min("lo").alias("lo"),
+                                   F.max("hi").alias("hi"))
     first = weighted_draw(draws, par, parent_draw, [parent], keep={"lo": "_plo", "weight": "_ptot"})
     k = F.col(child_draw_key).cast("bigint")
     second = first.withColumn("_r2", F.col("_plo") + F.pmod(k * F.lit(child_multiplier), F.col("_ptot")) + 1)

@@ -10,7 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from usagelake.operators import app, device, population, sampling, user
+from usagelake.functions.random import uniform_int
+from usagelake.operators import alias, app, device, population, sampling, user
 from usagelake.operators.model import Usage, explode_sessions, facts_from_sessions, nest_reports
 from usagelake.plans.store_queries import QUERIES as STORE_QUERIES
 from usagelake.sources.fixture import table, usage_sessions
@@ -150,6 +151,37 @@ def q_uniform_draw(spark, d):
     return sampling.weighted_draw(_order_draws(spark, d, total), cum, "r", "c_custkey")
 
 
+SEED = 20
+
+
+def q_random_int(spark, d):
+    """A uniform customer index for every order."""
+    n = table(spark, d, "customer").count()
+    return table(spark, d, "orders").select("o_orderkey", uniform_int(n, "o_orderkey", SEED, "customer").alias("r"))
+
+
+def q_alias_table(spark, d):
+    t = alias.alias_table(part_brand_model(spark, d), ["brand", "model"])
+    return t.select("slot", "brand", "model", "weight", "own", F.col("alias.brand").alias("alias_brand"),
+                    F.col("alias.model").alias("alias_model"), "n", "total")
+
+
+def q_alias_table_by_brand(spark, d):
+    t = alias.alias_table(part_brand_model(spark, d), "model", "brand")
+    return t.select("brand", "slot", "model", "weight", "own", F.col("alias.model").alias("alias_model"), "n", "total")
+
+
+def q_alias_draw(spark, d):
+    apps = usage_sessions(spark, d, ("package_name", "kind")).select("*", F.lit(1).alias("weight"))
+    t = alias.alias_table(apps, ["package_name", "kind"])
+    return alias.alias_draw(table(spark, d, "orders").select("o_orderkey"), t, "o_orderkey", ["package_name", "kind"], SEED)
+
+
+def q_alias_hierarchical_draw(spark, d):
+    return alias.alias_hierarchical_draw(table(spark, d, "orders").select("o_orderkey"), part_brand_model(spark, d),
+                                         "brand", "model", "o_orderkey", SEED)
+
+
 QUERIES: dict[str, Query] = {
     "aiv_brand": _device("brand"),
     "aiv_model": _device("model"),
@@ -192,5 +224,10 @@ QUERIES: dict[str, Query] = {
     "weighted_draw": q_weighted_draw,
     "hierarchical_draw": q_hierarchical_draw,
     "uniform_draw": q_uniform_draw,
+    "random_int": q_random_int,
+    "alias_table": q_alias_table,
+    "alias_table_by_brand": q_alias_table_by_brand,
+    "alias_draw": q_alias_draw,
+    "alias_hierarchical_draw": q_alias_hierarchical_draw,
     **STORE_QUERIES,
 }

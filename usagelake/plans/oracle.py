@@ -290,6 +290,79 @@ DRAWS = {
 }
 
 
+_SPAN = 16 ** 15
+
+
+def _uniform(n: str, key: str, stream: str, seed: int = 20) -> str:
+    """The counter-based generator in DuckDB's arithmetic."""
+    v = [f"CAST(concat('0x', substr(md5(concat('{seed}|{stream}|{i}|', CAST({key} AS VARCHAR))), 1, 15)) AS BIGINT)"
+         for i in range(4)]
+    tries = " ".join(f"WHEN {x} < {_SPAN} - {_SPAN} % {n} THEN {x} % {n}" for x in v)
+    return f"CAST(CASE {tries} ELSE {v[-1]} % {n} END AS BIGINT)"
+
+
+def _alias(name: str, source: str, keys: str, parent: str = "0") -> str:
+    """CTEs of an alias table ``name``; light and heavy categories are matched by as-of joins."""
+    k = [c.strip() for c in keys.split(",")]
+    part = f"PARTITION BY {parent}"
+    run = f"OVER ({part} ORDER BY {keys} ROWS UNBOUNDED PRECEDING)"
+    a = ", ".join(f"h.{c} AS alias_{c}" for c in k)
+    none = ", ".join(f"CAST(NULL AS VARCHAR) AS alias_{c}" for c in k)
+    step = ", ".join(f"CASE WHEN l.stop > d.heavy THEN d.next_{c} END AS alias_{c}" for c in k)
+    following = ", ".join(f"lead({c}) OVER ({part} ORDER BY heavy) AS next_{c}" for c in k)
+    head = f"d.g, d.slot, {', '.join('d.' + c for c in k)}, d.weight"
+    return f"""
+      {name}_w AS (SELECT *, {parent} AS g, CAST(count(*) OVER ({part}) AS HUGEINT) AS n,
+                          CAST(sum(weight) OVER ({part}) AS HUGEINT) AS total,
+                          row_number() OVER ({part} ORDER BY {keys}) - 1 AS slot FROM {source}),
+      {name}_d AS (SELECT *, weight * n - total AS over, sum(greatest(total - weight * n, 0)) {run} AS light,
+                          sum(greatest(weight * n - total, 0)) {run} AS heavy FROM {name}_w),
+      {name}_h AS (SELECT *, {following} FROM {name}_d WHERE over > 0),
+      {name}_l AS (SELECT g, light AS stop, light + over AS start FROM {name}_d WHERE over < 0),
+      {name} AS (
+        SELECT {head}, CAST(d.weight * d.n AS BIGINT) AS own, {a}, CAST(d.n AS BIGINT) AS n, CAST(d.total AS BIGINT) AS total
+        FROM (SELECT *, light + over AS start FROM {name}_d WHERE over < 0) d ASOF JOIN {name}_h h ON d.g = h.g AND d.start < h.heavy
+        UNION ALL
+        SELECT {head}, CAST(d.total - (l.stop - d.heavy) AS BIGINT), {step}, CAST(d.n AS BIGINT), CAST(d.total AS BIGINT)
+        FROM {name}_h d ASOF JOIN {name}_l l ON d.g = l.g AND d.heavy > l.start
+        UNION ALL
+        SELECT {head}, CAST(d.total AS BIGINT), {none}, CAST(d.n AS BIGINT), CAST(d.total AS BIGINT) FROM {name}_d d WHERE over = 0)"""
+
+
+_W = "WITH w AS (SELECT p_brand AS brand, p_type AS model, CAST(count(*) AS BIGINT) AS weight FROM part GROUP BY ALL),"
+DRAWS |= {
+    "random_int": f"""
+      SELECT o_orderkey, {_uniform('n', 'o_orderkey', 'customer')} AS r
+      FROM orders, (SELECT count(*) AS n FROM customer)""",
+    "alias_table": f"""{_W}{_alias('t', 'w', 'brand, model')}
+      SELECT slot, brand, model, weight, own, alias_brand, alias_model, n, total FROM t""",
+    "alias_table_by_brand": f"""{_W}{_alias('t', 'w', 'model', 'brand')}
+      SELECT g AS brand, slot, model, weight, own, alias_model, n, total FROM t""",
+    "alias_draw": f""",
+      w AS (SELECT package_name, kind, CAST(count(*) AS BIGINT) AS weight FROM sessions GROUP BY ALL),
+      {_alias('t', 'w', 'package_name, kind')},
+      size AS (SELECT max(n) AS n, max(total) AS total FROM t),
+      d AS (SELECT o_orderkey, {_uniform('n', 'o_orderkey', 'draw/slot')} AS slot,
+                   {_uniform('total', 'o_orderkey', 'draw/mass')} AS mass FROM orders, size)
+      SELECT o_orderkey, CASE WHEN mass < own THEN package_name ELSE alias_package_name END AS package_name,
+             CASE WHEN mass < own THEN kind ELSE alias_kind END AS kind FROM d JOIN t ON t.slot = d.slot""",
+    "alias_hierarchical_draw": f"""{_W}
+      p AS (SELECT brand, CAST(sum(weight) AS BIGINT) AS weight, count(*) AS kids FROM w GROUP BY brand),
+      size AS (SELECT count(*) AS n, CAST(sum(weight) AS BIGINT) AS total, CAST(sum(kids) AS BIGINT) AS leaves FROM p),
+      c AS (SELECT brand, weight AS bw, kids,
+                   CAST((CAST(weight AS HUGEINT) * leaves + kids * total - 1) // (kids * total) AS BIGINT) AS copies FROM p, size),
+      {_alias('tp', 'p', 'brand')},
+      {_alias('tc', 'w', 'model', 'brand')},
+      d AS (SELECT o_orderkey, {_uniform('n', 'o_orderkey', 'parent/slot')} AS slot,
+                   {_uniform('total', 'o_orderkey', 'parent/mass')} AS mass FROM orders, size),
+      e AS (SELECT o_orderkey, CASE WHEN mass < own THEN brand ELSE alias_brand END AS brand FROM d JOIN tp ON tp.slot = d.slot),
+      f AS (SELECT o_orderkey, e.brand, {_uniform('(kids * copies)', 'o_orderkey', 'child/slot')} % kids AS slot,
+                   {_uniform('bw', 'o_orderkey', 'child/mass')} AS mass FROM e JOIN c ON c.brand = e.brand)
+      SELECT o_orderkey, f.brand, CASE WHEN mass < own THEN model ELSE alias_model END AS model
+      FROM f JOIN tc ON tc.g = f.brand AND tc.slot = f.slot""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     out = {k: sql_for(k) for k in BODIES}
     for k, v in DRAWS.items():

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -73,13 +74,11 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 def reusable(df):
     """Materialise ``df`` once for a plan that reads it several times.
 
-    A reliable checkpoint to the shared checkpoint folder: later passes scan
-    the written copy instead of recomputing the lineage (for the usage
-    fixture, the scan of the fact table and its join), and a lost executor
-    re-reads the files rather than recomputing.
+    One pass writes it as Parquet to the shared folder: later passes read only
+    the columns they need instead of recomputing the lineage, and a lost
+    executor re-reads the files.
     """
     spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_dir(spark, "usagelake-checkpoints"))
-    return df.checkpoint(eager=True)
+    path = shared_dir(spark, f"usagelake-stored-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
