@@ -50,7 +50,9 @@ _END = np.zeros(256, bool)
 _END[list(PIECE_END)] = True
 _STOP = _END.copy()
 _STOP[list(WORD_GAP)] = True
-_TOKENS = "lang string, n long, words array<long>"
+_TOKENS = "lang string, n long, words array<long>, shard int, part int"
+# 16 slots of documents in three parts: phrases are looked up in a small part first
+PART = [0] + [1] * 3 + [2] * 12
 
 
 def _words(buf: np.ndarray, off: np.ndarray, langs: list[str]):
@@ -64,7 +66,8 @@ def _words(buf: np.ndarray, off: np.ndarray, langs: list[str]):
     seeds = {lang: xxh64_intdigest(lang.encode()) for lang in set(langs)}
     seed = np.array([seeds[lang] for lang in langs], np.uint64)
     h = mix(hash_spans(low, starts, ends) + np.repeat(seed, np.diff(first)))
-    h[h == 0] = 1
+    h &= ~np.uint64(1)  # even hashes are words, odd ones longer phrases
+    h[h == 0] = 2
     piece = np.cumsum(_END[low], dtype=np.int64)[starts]
     stop = np.ones(n, bool)
     stop[:-1] = piece[1:] != piece[:-1]
@@ -81,12 +84,13 @@ def _stream(h: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _tokens(docs: DataFrame, shards: int) -> tuple[DataFrame, str]:
-    """Written table of the word hashes of every document, one folder a shard."""
+    """Written table of the word hashes of every document, one folder a shard and part."""
     spark = docs.sparkSession
     arrow_limits(spark)
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(text.alias("text"), F.coalesce("lang", F.lit(NO_LANG)).alias("lang"),
-                       F.pmod(F.xxhash64("doc_id", text), F.lit(shards)).cast("int").alias("shard"))
+    slot = F.pmod(F.xxhash64("doc_id", text), F.lit(shards * len(PART))).cast("int")
+    rows = docs.select(text.alias("text"), F.coalesce("lang", F.lit(NO_LANG)).alias("lang"), (slot % shards).alias("shard"),
+                       F.element_at(F.array(*map(F.lit, PART)), F.floor(slot / shards).cast("int") + 1).alias("part"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -99,11 +103,11 @@ def _tokens(docs: DataFrame, shards: int) -> tuple[DataFrame, str]:
                 words = pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(out.view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(langs[i:j], pa.string()), pa.array(np.diff(first)), words,
-                     b.column(2).slice(i, j - i)], ["lang", "n", "words", "shard"])
+                     b.column(2).slice(i, j - i), b.column(3).slice(i, j - i)], ["lang", "n", "words", "shard", "part"])
 
     path = shared_dir(spark, f"llm-words-{uuid.uuid4().hex}")
-    rows.mapInArrow(run, _TOKENS + ", shard int").write.partitionBy("shard").parquet(path)
-    return spark.read.schema(_TOKENS + ", shard int").parquet(path), path
+    rows.mapInArrow(run, _TOKENS).write.partitionBy("shard", "part").parquet(path)
+    return spark.read.schema(_TOKENS).parquet(path), path
 
 
 def _has(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -132,7 +136,7 @@ def _active(w: np.ndarray, new: np.ndarray, old: np.ndarray | None, longest: int
             was = was & _has(old, h)
         pair = np.flatnonzero(np.diff(at) == 1)
         at, was = at[pair], was[pair] & was[pair + 1]
-        h = mix(h[pair] * _BASE + w[at + k - 1])
+        h = mix(h[pair] * _BASE + w[at + k - 1]) | np.uint64(1)
         yield k, at, h, was
 
 
@@ -210,9 +214,9 @@ def frequent_phrases(tokens: DataFrame, words: int, min_count: int, longest: int
             return counts.where(F.col("n") >= min_count).select("h", "n")
 
 
-def _structure(tokens: DataFrame, frequent, longest: int) -> DataFrame:
-    """``h, lang, pre, post`` of frequent phrases (and of some others that the filter ``frequent`` lets
-    through): hashes of the first parts and of the rests of all cuts."""
+def _structure(tokens: DataFrame, known, wanted, longest: int) -> DataFrame:
+    """``h, lang, pre, post`` of the phrases that the filter ``wanted`` holds (and some others): hashes of
+    the first parts and of the rests of all cuts.  ``known`` holds all frequent phrases."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in merged(batches, 8 * CHUNK_BYTES):
@@ -221,10 +225,10 @@ def _structure(tokens: DataFrame, frequent, longest: int) -> DataFrame:
             start = np.concatenate([[0], np.cumsum(lengths)])
             w = pc.list_flatten(lists).to_numpy(zero_copy_only=False).view(np.uint64)
             dense = {1: w}
-            for k, at, h, _ in _active(w, frequent.value, None, longest):
+            for k, at, h, _ in _active(w, known.value, None, longest):
                 dense[k] = np.zeros(len(w), np.uint64)
                 dense[k][at] = h
-                yes = _has(frequent.value, h)
+                yes = _has(wanted.value, h)
                 h, where = np.unique(h[yes], return_index=True)
                 at = at[yes][where]
                 if len(h) == 0:
@@ -241,6 +245,26 @@ def _structure(tokens: DataFrame, frequent, longest: int) -> DataFrame:
     return rows.groupBy("h").agg(*[F.first(c).alias(c) for c in ("lang", "pre", "post")])
 
 
+def _resolved(tokens: DataFrame, frequent: DataFrame, known, size: int, longest: int) -> DataFrame:
+    """``h, a, lang, pre, post`` of all frequent phrases of two words or more.
+
+    They are looked up in one sixteenth of the documents, those not found there in the next
+    part, and so on, so a phrase is not reported by every task; the last part holds all the rest.
+    """
+    spark = tokens.sparkSession
+    left = frequent.where("h & 1 = 1").withColumnRenamed("n", "a")
+    out = None
+    for part in sorted(set(PART)):
+        wanted = spark.sparkContext.broadcast(_bits(left, size))
+        found = _structure(tokens.where(F.col("part") == part), known, wanted, longest)
+        found = staged(left.join(found, "h"), "candidates")
+        out = found if out is None else out.unionByName(found)
+        left = left.join(found.select("h"), "h", "left_anti")
+        if left.isEmpty():
+            break
+    return out
+
+
 def _texts(docs: DataFrame, wanted: DataFrame, frequent, longest: int) -> DataFrame:
     """``h, phrase`` of the wanted phrases, read from the documents once more."""
     sent = docs.sparkSession.sparkContext.broadcast(_bits(wanted, _size(64 * wanted.count())))
@@ -302,9 +326,9 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, longest: int = LON
     per_lang = tokens.groupBy("lang").agg(F.sum("n").alias("n")).where("n > 0")
     words = int(per_lang.agg(F.sum("n")).first()[0] or 0)
     frequent = frequent_phrases(tokens, words, min_count, longest, shards)
-    known = docs.sparkSession.sparkContext.broadcast(_bits(frequent, _size(words // 16)))
-    found = _structure(tokens, known, longest)
-    candidates = staged(found.join(frequent.withColumnRenamed("n", "a"), "h"), "candidates")
+    size = _size(words // 16)
+    known = docs.sparkSession.sparkContext.broadcast(_bits(frequent, size))
+    candidates = _resolved(tokens, frequent, known, size, longest)
     longer = candidates.where(F.size("pre") >= 2).select(
         F.explode(F.array(F.element_at("pre", -1), F.element_at("post", 1))).alias("h"), F.col("a").alias("m"))
     longer = longer.groupBy("h").agg(F.max("m").alias("m"))
