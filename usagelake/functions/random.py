@@ -8,14 +8,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-DIGITS = 15   # hexadecimal digits of the digest that make one value: below 2**60
-ATTEMPTS = 4
+DIGITS = 15   # hexadecimal digits that make one value: below 2**60; a digest holds two values
+ATTEMPTS = 2
 
 
 def random_bits(key: Column, seed: int, stream: str, attempt: int = 0, digits: int = DIGITS) -> Column:
-    """Uniform integer in ``[0, 16**digits)``: the first digits of MD5 of ``seed|stream|attempt|key``."""
-    text = F.concat(F.lit(f"{seed}|{stream}|{attempt}|"), F.coalesce(key.cast("string"), F.lit("")))
-    return F.conv(F.substring(F.md5(text), 1, digits), 16, 10).cast("bigint")
+    """Uniform integer in ``[0, 16**digits)`` from the MD5 of ``seed|stream|n|key``.
+
+    Attempts 2n and 2n + 1 read the two halves of digest n.
+    """
+    text = F.concat(F.lit(f"{seed}|{stream}|{attempt // 2}|"), F.coalesce(key.cast("string"), F.lit("")))
+    return F.conv(F.substring(F.md5(text), 1 + attempt % 2 * 15, digits), 16, 10).cast("bigint")
 
 
 def uniform_int(n, key, seed: int = 0, stream: str = "", digits: int = DIGITS, attempts: int = ATTEMPTS) -> Column:

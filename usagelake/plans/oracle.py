@@ -295,8 +295,8 @@ _SPAN = 16 ** 15
 
 def _uniform(n: str, key: str, stream: str, seed: int = 20) -> str:
     """The counter-based generator in DuckDB's arithmetic."""
-    v = [f"CAST(concat('0x', substr(md5(concat('{seed}|{stream}|{i}|', CAST({key} AS VARCHAR))), 1, 15)) AS BIGINT)"
-         for i in range(4)]
+    v = [f"CAST(concat('0x', substr(md5(concat('{seed}|{stream}|0|', CAST({key} AS VARCHAR))), {at}, 15)) AS BIGINT)"
+         for at in (1, 16)]
     tries = " ".join(f"WHEN {x} < {_SPAN} - {_SPAN} % {n} THEN {x} % {n}" for x in v)
     return f"CAST(CASE {tries} ELSE {v[-1]} % {n} END AS BIGINT)"
 
