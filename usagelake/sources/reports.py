@@ -117,6 +117,16 @@ def reports_decode(lines: DataFrame, value_col: str = "value",
     return d.withColumn("report_id", rid).drop(value_col, "status", "arrival", "source_file")
 
 
+STATUS_METRIC = "report_status"
+
+
+def status_metrics(status: str = "status") -> list[Column]:
+    """Aggregates for ``observe``: lines accepted, non-conforming (dropped) and malformed."""
+    s = F.col(status)
+    return [F.count_if(s == 1).alias("accepted"), F.count_if(s == 0).alias("nonconforming"),
+            F.count_if(s == -1).alias("malformed")]
+
+
 def decode_status_counts(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """Lines per status -> ``status, lines``."""
     return _with_status(lines, [], value_col).groupBy("status").agg(F.count("*").alias("lines"))

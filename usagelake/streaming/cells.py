@@ -6,7 +6,9 @@ merge law:
 
 * ``SUM``   - add the numbers (missing = 0);
 * ``UNION`` - set union of members (one delta row per member);
-* ``LAST``  - the value with the greatest order ``(epoch, seq)`` wins.
+* ``LAST``  - the value with the greatest order ``(epoch, seq)`` wins;
+* ``SKETCH`` - union of HyperLogLog sketches (base64 text), read as an estimate of
+  the number of distinct members: UNION in bounded space, for users who opt in.
 
 Stream batches write ``tbl=<t>/batch_id=<n>`` partitions with dynamic
 partition overwrite, so re-running a batch after a failure replaces its
@@ -21,8 +23,10 @@ import time
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-SUM, UNION, LAST = "SUM", "UNION", "LAST"
-LAWS = (SUM, UNION, LAST)
+from usagelake.operators.app import sketch_estimate
+
+SUM, UNION, LAST, SKETCH = "SUM", "UNION", "LAST", "SKETCH"
+LAWS = (SUM, UNION, LAST, SKETCH)
 
 CELL = ["tbl", "row_key", "family", "qualifier"]
 
@@ -121,6 +125,25 @@ def _last(live: DataFrame) -> DataFrame:
     return live.groupBy(*CELL).agg(F.max_by(v, _order()).alias("value"))
 
 
+def _sketch(live: DataFrame) -> DataFrame:
+    return live.groupBy(*CELL).agg(F.hll_union_agg(F.unbase64("text")).alias("sketch"))
+
+
+def sketch_deltas(members: DataFrame, member: str = "member", lg_k: int = 12) -> DataFrame:
+    """Rows ``tbl, row_key, family, qualifier`` and a member -> SKETCH deltas, one row a cell.
+
+    Sketches are built map-side; all of a cell must have the same ``lg_k`` (2**lg_k registers;
+    the relative standard error is 1.04 / sqrt(2**lg_k)).
+    """
+    one = members.groupBy(*CELL).agg(F.base64(F.hll_sketch_agg(F.col(member).cast("string"), F.lit(lg_k))).alias("text"))
+    return as_deltas(one)
+
+
+def merge_sketch(deltas: DataFrame, admin=True) -> DataFrame:
+    """SKETCH law -> ``tbl, row_key, family, qualifier, value`` (estimated distinct members)."""
+    return _sketch(live_rows(deltas, admin)).select(*CELL, sketch_estimate("sketch").alias("value"))
+
+
 def merge_sum(deltas: DataFrame, admin=True) -> DataFrame:
     """SUM law -> ``tbl, row_key, family, qualifier, value`` (bigint)."""
     return _sum(live_rows(deltas, admin))
@@ -165,21 +188,30 @@ def deltas_of_law(deltas: DataFrame, law: str, families: dict | None = None,
 def merge_all(deltas: DataFrame, families: dict | None = None, admin=True) -> DataFrame:
     """Every cell rendered as text -> ``tbl, row_key, family, qualifier, law, value``.
 
-    UNION cells give one row per member.
+    UNION cells give one row per member, SKETCH cells their estimate.
     """
     laws = law_table(deltas.sparkSession, families)
+    sketches = _has_sketches(families if families is not None else TABLE_FAMILIES)
     # Tombstones carry no family, so resolve them before attaching laws.
     # The law table has one row per declared family: a fixed, small bound.
     d = live_rows(deltas, admin).join(F.broadcast(laws), ["tbl", "family"])
     # SUM and LAST cells in one aggregation (one value per cell), UNION
     # members in a second one (one row per member): two passes over the log.
     text = F.coalesce(F.col("text"), F.col("num").cast("string"))
-    one = (d.filter(F.col("law") != UNION).groupBy(*CELL, "law")
+    one = (d.filter(F.col("law").isin(SUM, LAST)).groupBy(*CELL, "law")
            .agg(F.sum("num").cast("bigint").alias("_s"), F.max_by(text, _order()).alias("_l"))
            .select(*CELL, "law", F.when(F.col("law") == SUM, F.col("_s").cast("string"))
                    .otherwise(F.col("_l")).alias("value")))
     u = _union(d.filter(F.col("law") == UNION).drop("law"))
-    return one.unionByName(u.select(*CELL, F.lit(UNION).alias("law"), F.col("member").alias("value")))
+    out = one.unionByName(u.select(*CELL, F.lit(UNION).alias("law"), F.col("member").alias("value")))
+    if sketches:
+        s = merge_sketch(d.filter(F.col("law") == SKETCH).drop("law"), admin=False)
+        out = out.unionByName(s.select(*CELL, F.lit(SKETCH).alias("law"), F.col("value").cast("string").alias("value")))
+    return out
+
+
+def _has_sketches(families: dict) -> bool:
+    return any(SKETCH in laws.values() for laws in families.values())
 
 
 # ---- the store -----------------------------------------------------------
@@ -333,7 +365,8 @@ class CellStore:
         """Fold the log through batch ``upto`` (default: the last batch) into a snapshot.
 
         SUM cells become one row with the total, UNION cells one row per
-        member, LAST cells the winning row with its order; tombstones and
+        member, LAST cells the winning row with its order, SKETCH cells one
+        sketch; tombstones and
         overwrites at or before the point are applied and dropped.  The
         snapshot is written to ``snapshots/upto=N`` by table, sorted by row
         key; readers only use it once its ``_SUCCESS`` marker exists, so a
@@ -357,12 +390,13 @@ class CellStore:
         cut = tuple(cut) if cut else (self._cut(prev) if prev is not None else (-1, -1))
         self.spark.createDataFrame([cut], "epoch long, seq long").coalesce(1).write.mode("overwrite").parquet(
             f"{self.cut_path}/upto={n}")
-        laws = law_table(self.spark, self.families())
+        families = self.families()
+        laws = law_table(self.spark, families)
         x = live.join(F.broadcast(laws), ["tbl", "family"])
         o = _order()
         # SUM and LAST cells in one aggregation, UNION members in another.
         is_sum = F.col("law") == SUM
-        one = (x.filter(F.col("law") != UNION).groupBy(*CELL, "law")
+        one = (x.filter(F.col("law").isin(SUM, LAST)).groupBy(*CELL, "law")
                .agg(F.sum("num").cast("bigint").alias("_s"),
                     F.max_by(F.struct("num", "text", "epoch", "seq"), o).alias("w"))
                .select(*CELL,
@@ -373,7 +407,13 @@ class CellStore:
         unions = (_union(x.filter(F.col("law") == UNION).drop("law"))
                   .select(*CELL, F.lit(None).cast("bigint").alias("num"), F.col("member").alias("text"),
                           F.lit(2 * n).cast("bigint").alias("epoch"), F.lit(0).cast("bigint").alias("seq")))
-        snap = (one.unionByName(unions)
+        folded = one.unionByName(unions)
+        if _has_sketches(families):
+            sketches = _sketch(x.filter(F.col("law") == SKETCH).drop("law"))
+            folded = folded.unionByName(sketches.select(
+                *CELL, F.lit(None).cast("bigint").alias("num"), F.base64("sketch").alias("text"),
+                F.lit(2 * n).cast("bigint").alias("epoch"), F.lit(0).cast("bigint").alias("seq")))
+        snap = (folded
                 .withColumn("op", F.lit("add")).withColumn("batch_id", F.lit(n).cast("bigint"))
                 .select(*[f.name for f in LOG_SCHEMA.fields]))
         (snap.repartitionByRange("tbl", "row_key").sortWithinPartitions("tbl", "row_key")
@@ -434,6 +474,8 @@ class CellStore:
     def put_row(self, tbl: str, row_key: str, family: str, values: dict) -> None:
         """Overwrite several qualifiers of one family of one row."""
         law = self._law(tbl, family)
+        if law == SKETCH:
+            raise ValueError(f"{tbl}.{family} is a SKETCH family; add sketches with write_batch()")
         rows = []
         for q, v in values.items():
             if law == SUM:
@@ -445,10 +487,10 @@ class CellStore:
     def put_frame(self, tbl: str, cells: DataFrame) -> None:
         """Overwrite many cells from ``row_key, family, qualifier, value`` (value as text), in one write.
 
-        Rows of undeclared families are refused; of several rows for one cell
+        Rows of undeclared families and of SKETCH families are refused; of several rows for one cell
         the one with the greatest value text counts.
         """
-        laws = self.families().get(tbl, {})
+        laws = {f: law for f, law in self.families().get(tbl, {}).items() if law != SKETCH}
         unknown = cells.filter(~F.col("family").isin(sorted(laws))).select("family").first()
         if unknown is not None:
             raise KeyError(f"unknown family {tbl}.{unknown['family']}")

@@ -16,7 +16,9 @@ on replay), and lines that did not decode go to a quarantine folder.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from usagelake.functions.expressions import (
     bucket_sql, duration_bucket, hour_of, hour_sql, pair_text_sql, trunc_seconds,
@@ -24,7 +26,7 @@ from usagelake.functions.expressions import (
 )
 from usagelake.operators import app, user
 from usagelake.operators.model import Usage
-from usagelake.sources.reports import arrival, decode_lines
+from usagelake.sources.reports import STATUS_METRIC, arrival, decode_lines, status_metrics
 from usagelake.streaming.cells import CELL, LAST, SUM, UNION, CellStore, as_deltas
 
 # The AIV family each device column is written to.
@@ -203,24 +205,13 @@ def with_report_texts(reports: DataFrame) -> DataFrame:
         "aggregate(apps, 0L, (acc, a) -> acc + (a.end_time - a.begin_time)) AS duration_ms")
 
 
-def report_deltas(reports: DataFrame, tz: str = "UTC", bucket_unit: str = "ms",
-                  laws=(SUM, UNION, LAST), batch: Column | None = None) -> DataFrame:
-    """All metric deltas of a batch of nested reports in two aggregations.
-
-    1. Every report emits one array of cells: its report-grain SUM cells,
-       eight SUM cells per session, an APP_USAGE bucket cell and a UNION
-       member cell per package, and a version cell per (package, version).
-       One explode and one ``groupBy(cell, text)`` fold them all.
-    2. The per-user-day LAST values come from one ``max_by`` aggregation
-       over report-grain structs.
+def report_cells(r: DataFrame, tz: str, bucket_unit: str, laws, by=()) -> DataFrame:
+    """Cells of reports with their per-report values (``with_report_texts``), one row each, not yet folded.
 
-    ``batch`` (a column of batch numbers) folds several batches at once, each
-    by itself, and sets their epochs.
+    A report emits its report-grain SUM cells, eight SUM cells per session, an
+    APP_USAGE bucket cell and a UNION member cell per package, and a version
+    cell per (package, version).
     """
-    r = with_report_texts(reports if batch is None else reports.withColumn("_batch", batch))
-    by = [] if batch is None else ["_batch"]
-    epoch = F.lit(0) if batch is None else F.col("_batch") * 2
-    parts = []
     cells = []
     if SUM in laws:
         cells.append(_report_cells_sql(bucket_unit))
@@ -234,10 +225,27 @@ def report_deltas(reports: DataFrame, tz: str = "UTC", bucket_unit: str = "ms",
         cells.append("transform(array_distinct(transform(apps, a -> named_struct("
                      "'p', a.package_name, 'v', a.version))), x -> "
                      + _cell_sql("SINGLE_APP", "x.p", "version", "x.v", "NULL", "x.v") + ")")
-    if cells:
-        x = r.selectExpr(*by, f"explode(concat({', '.join(cells)})) AS c").select(*by, "c.*")
-        folded = x.groupBy(*by, *CELL, "text").agg(F.sum("num").cast("bigint").alias("num"))
-        parts.append(as_deltas(folded, epoch=epoch))
+    return r.selectExpr(*by, f"explode(concat({', '.join(cells)})) AS c").select(*by, "c.*")
+
+
+def report_deltas(reports: DataFrame, tz: str = "UTC", bucket_unit: str = "ms",
+                  laws=(SUM, UNION, LAST), batch: Column | None = None) -> DataFrame:
+    """All metric deltas of a batch of nested reports in two aggregations.
+
+    1. Every report emits one array of cells (``report_cells``); one explode
+       and one ``groupBy(cell, text)`` fold them all.
+    2. The per-user-day LAST values come from one ``max_by`` aggregation
+       over report-grain structs.
+
+    ``batch`` (a column of batch numbers) folds several batches at once, each
+    by itself, and sets their epochs.
+    """
+    r = with_report_texts(reports if batch is None else reports.withColumn("_batch", batch))
+    by = [] if batch is None else ["_batch"]
+    epoch = F.lit(0) if batch is None else F.col("_batch") * 2
+    x = report_cells(r, tz, bucket_unit, laws, by)
+    folded = x.groupBy(*by, *CELL, "text").agg(F.sum("num").cast("bigint").alias("num"))
+    parts = [as_deltas(folded, epoch=epoch)]
     if LAST in laws:
         # The batch's winner is chosen here, in arrival order; between batches the epoch decides.
         last = r.groupBy(*by, "user_id", "date").agg(F.expr(
@@ -268,8 +276,8 @@ def kafka_ingest_seq() -> Column:
 
 def process_batch(store: CellStore, lines: DataFrame, batch_id: int, tz: str = "UTC",
                   bucket_unit: str = "ms", quarantine: str | None = None,
-                  value_col: str = "value", ingest_seq: Column | None = None) -> None:
-    """Decode one batch of lines and write its deltas as batch ``batch_id``.
+                  value_col: str = "value", ingest_seq: Column | None = None) -> dict[str, int]:
+    """Decode one batch of lines and write its deltas as batch ``batch_id``; returns its lines by status.
 
     The decoded batch is first written to ``<store>/staging/batch_id=<n>``
     (a retried batch replaces it) and read back by that path.  That cuts the
@@ -284,7 +292,8 @@ def process_batch(store: CellStore, lines: DataFrame, batch_id: int, tz: str = "
         "report_id", F.concat_ws(":", F.lit(str(batch_id)), F.col("ingest_seq").cast("string"))
     ).withColumn(value_col, F.when(F.col("status") < 1, F.col(value_col)))
     staging = f"{store.root}/staging/batch_id={batch_id}"
-    staged.write.mode("overwrite").parquet(staging)
+    status = Observation(STATUS_METRIC)  # counted by the pass that writes the batch
+    staged.observe(status, *status_metrics()).write.mode("overwrite").parquet(staging)
     back = store.spark.read.schema(staged.schema).parquet(staging)
     reports = back.filter(F.col("status") == 1).drop(value_col, "status")
     store.write_batch(store.declared(report_deltas(reports, tz, bucket_unit)), batch_id)
@@ -293,12 +302,14 @@ def process_batch(store: CellStore, lines: DataFrame, batch_id: int, tz: str = "
         (bad.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(quarantine))
     store.discard(staging)
+    return status.get
 
 
 def start_stream(spark: SparkSession, lines: DataFrame, store: CellStore, checkpoint: str,
                  trigger: dict | None = None, tz: str = "UTC", bucket_unit: str = "ms",
                  quarantine: str | None = None, query_name: str | None = None,
-                 compact_every: int | None = None, ingest_seq: Column | None = None):
+                 compact_every: int | None = None, ingest_seq: Column | None = None,
+                 on_status: Callable[[int, dict[str, int]], None] | None = None):
     """Start the metrics stream over a streaming DataFrame of text lines.
 
     ``trigger`` is passed to ``DataStreamWriter.trigger`` (for example
@@ -306,6 +317,8 @@ def start_stream(spark: SparkSession, lines: DataFrame, store: CellStore, checkp
     ``compact_every=k`` folds the log into a snapshot after every k-th batch.
     ``ingest_seq`` orders reports within a batch (``kafka_ingest_seq()`` for
     a Kafka source); the default is arrival order (file time, path, place).
+    ``on_status(batch_id, counts)`` gets the lines ``accepted``, ``nonconforming`` and
+    ``malformed`` of every batch (again for a batch that is run again).
     The checkpoint and the store must live and die together: batch ids
     restart at 0 without a checkpoint and would overwrite old batches, and a
     checkpoint without its store would leave earlier batches out.  Both are
@@ -320,7 +333,9 @@ def start_stream(spark: SparkSession, lines: DataFrame, store: CellStore, checkp
     store.create_default_tables()
 
     def run(df: DataFrame, batch_id: int) -> None:
-        process_batch(store, df, batch_id, tz, bucket_unit, quarantine, ingest_seq=ingest_seq)
+        counts = process_batch(store, df, batch_id, tz, bucket_unit, quarantine, ingest_seq=ingest_seq)
+        if on_status:
+            on_status(batch_id, counts)
         # Fold the log every `compact_every` batches so reads stay bounded by
         # the state size, not by the number of batches, and remove what was
         # folded.  A replayed batch rewrites its partition, which readers skip
