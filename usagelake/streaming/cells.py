@@ -19,8 +19,6 @@ own rows instead of adding them twice.  Administrative writes (``put``,
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from usagelake.operators.app import sketch_estimate
@@ -326,9 +324,10 @@ class CellStore:
 
     # -- the log
     def deltas(self, tbl: str | None = None) -> DataFrame:
+        """Rows of the log; a batch shows once it is marked, so one that a failure cut short does not."""
         if not self._exists(self.delta_path):
             return self.spark.createDataFrame([], LOG_SCHEMA)
-        d = self.spark.read.schema(LOG_SCHEMA).parquet(self.delta_path)
+        d = self.spark.read.schema(LOG_SCHEMA).parquet(self.delta_path).filter(F.col("batch_id") <= self.last_batch())
         if tbl is not None:
             d = d.filter(F.col("tbl") == tbl)  # partition pruning on tbl=
         return d
@@ -356,11 +355,25 @@ class CellStore:
         snap = self._snapshot(n)
         if tbl is not None:
             snap = snap.filter(F.col("tbl") == tbl)
-        epoch, seq = self._cut(n)
-        after = (F.col("epoch") > epoch) | ((F.col("epoch") == epoch) & (F.col("seq") > seq))
-        newer = d.filter((F.col("batch_id") > n) | ((F.col("batch_id") == -1) & after))
+        newer = d.filter(F.col("batch_id") > n).unionByName(self._after(d.filter(F.col("batch_id") == -1), n))
         return snap.unionByName(newer)
 
+    def _after(self, admin: DataFrame, n: int) -> DataFrame:
+        """Administrative rows that snapshot ``n`` does not hold."""
+        epoch, seq = self._cut(n)
+        return admin.filter((F.col("epoch") > epoch) | ((F.col("epoch") == epoch) & (F.col("seq") > seq)))
+
+    def _next_order(self) -> tuple[int, int]:
+        """Order of the next administrative row: after the last batch and after all rows before it.
+
+        A stored counter, not a clock: the largest number of the rows and of the
+        latest cut, plus one.  One writer at a time makes administrative writes.
+        """
+        n = self.latest_snapshot()
+        last = self._cut(n)[1] if n is not None else -1
+        stored = self.deltas().filter(F.col("batch_id") == -1).agg(F.max("seq")).first()[0]
+        return 2 * self.last_batch() + 1, max(last, -1 if stored is None else stored) + 1
+
     def compact(self, upto: int | None = None) -> int:
         """Fold the log through batch ``upto`` (default: the last batch) into a snapshot.
 
@@ -422,12 +435,26 @@ class CellStore:
         return n
 
     def purge(self, upto: int) -> None:
-        """Delete stream partitions folded into snapshot ``upto`` (requires it to exist)."""
-        if self.latest_snapshot() is None or self.latest_snapshot() < upto:
+        """Delete what snapshot ``upto`` (which must exist) made needless.
+
+        Stream partitions folded into it, snapshots before the latest one, and
+        administrative rows once all of a table's are folded.
+        """
+        latest = self.latest_snapshot()
+        if latest is None or latest < upto:
             raise RuntimeError(f"no complete snapshot through batch {upto}")
+        for path in (self.snap_path, self.cut_path):
+            for name in self._children(path):
+                if name.startswith("upto=") and int(name.split("=", 1)[1]) < latest:
+                    self._delete(f"{path}/{name}")
+        waiting = self._after(self.deltas().filter(F.col("batch_id") == -1), latest)
+        waiting = {r["tbl"] for r in waiting.select("tbl").distinct().collect()}  # declared tables: a few
         for t in self._children(self.delta_path):
             for b in self._children(f"{self.delta_path}/{t}"):
-                if b.startswith("batch_id=") and 0 <= int(b.split("=", 1)[1]) <= upto:
+                if not b.startswith("batch_id="):
+                    continue
+                n = int(b.split("=", 1)[1])
+                if 0 <= n <= upto or (n == -1 and t.removeprefix("tbl=") not in waiting):
                     self._delete(f"{self.delta_path}/{t}/{b}")
         for n in self._children(self.mark_path, files=True):
             if n.isdigit() and int(n) < upto:
@@ -458,8 +485,7 @@ class CellStore:
         fs.create(p, True).close()
 
     def _admin(self, rows: list) -> None:
-        epoch = 2 * self.last_batch() + 1
-        base = time.time_ns()
+        epoch, base = self._next_order()
         data = [(t, r, f, q, op, n, x, epoch, base + i, -1) for i, (t, r, f, q, op, n, x) in enumerate(rows)]
         df = self.spark.createDataFrame(data, LOG_SCHEMA)
         df.write.mode("append").partitionBy("tbl", "batch_id").parquet(self.delta_path)
@@ -497,12 +523,12 @@ class CellStore:
         sums = [f for f, law in laws.items() if law == SUM]
         one = cells.groupBy("row_key", "family", "qualifier").agg(F.max("value").alias("value"))
         is_sum = F.col("family").isin(sums) if sums else F.lit(False)
+        epoch, seq = self._next_order()
         out = one.select(
             F.lit(tbl).alias("tbl"), F.col("row_key").cast("string"), "family", F.col("qualifier").cast("string"),
             F.lit("set").alias("op"), F.when(is_sum, F.col("value").cast("bigint")).alias("num"),
             F.when(~is_sum, F.col("value").cast("string")).alias("text"),
-            F.lit(2 * self.last_batch() + 1).cast("bigint").alias("epoch"),
-            F.lit(time.time_ns()).cast("bigint").alias("seq"), F.lit(-1).cast("bigint").alias("batch_id"))
+            F.lit(epoch).cast("bigint").alias("epoch"), F.lit(seq).cast("bigint").alias("seq"), F.lit(-1).cast("bigint").alias("batch_id"))
         out.write.mode("append").partitionBy("tbl", "batch_id").parquet(self.delta_path)
 
     def delete_row(self, tbl: str, row_key: str) -> None:
