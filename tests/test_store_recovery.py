@@ -81,3 +81,43 @@ def test_scan_of_many_tables_after_purge(store):
     store.purge(0)
     assert [r["value"] for r in store.scan("U").collect()] == ["2"] and value(store) == {"q": 1}
     assert store.deltas().filter(F.col("batch_id") == -1).count() == 2
+
+
+
+def test_reads_without_administrative_rows_need_no_join(store):
+    batch(store, 0, 1)
+    store.compact()
+    batch(store, 1, 2)
+    for df in (store.get("T", "r", "n"), store.scan("T")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and plan.count("BroadcastExchange") == 1  # the declared families
+        assert plan.count("Exchange hashpartitioning") == 1
+    store.put("T", "r", "n", "q", 9)
+    assert value(store) == {"q": 9}
+    store.compact()
+    assert value(store) == {"q": 9}
+
+
+def _rows_read(df):
+    """Rows that the scans of an executed query gave."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().get("numOutputRows").get().value() for i in range(leaves.size())
+               if "Scan parquet" in leaves.apply(i).nodeName())
+
+
+def test_a_row_is_found_without_reading_other_files(spark, store):
+    """Row keys of every file span the same range, so only the bloom filter can rule a file out."""
+    keep = spark.conf.get("spark.sql.adaptive.enabled")
+    for n in range(3):
+        rows = spark.range(2000).select(
+            F.lit("T").alias("tbl"), F.format_string(f"%05d-{n}", F.col("id")).alias("row_key"), F.lit("n").alias("family"),
+            F.lit("q").alias("qualifier"), F.lit(1).alias("num"))
+        store.write_batch(as_deltas(rows), n)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert value(store, "00700-1") == {"q": 1}
+        assert _rows_read(store.get("T", "00700-1", "n")) == 2000  # one file of three
+        assert _rows_read(store.get("T", "00700-7", "n")) == 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", keep)

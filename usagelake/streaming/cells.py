@@ -19,6 +19,8 @@ own rows instead of adding them twice.  Administrative writes (``put``,
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from usagelake.operators.app import sketch_estimate
@@ -42,6 +44,9 @@ DELTA_SCHEMA = T.StructType([
 DELTA_COLUMNS = [f.name for f in DELTA_SCHEMA.fields]
 LOG_SCHEMA = T.StructType(DELTA_SCHEMA.fields + [T.StructField("batch_id", T.LongType())])
 
+# A bloom filter of the row keys in every row group, sized by the keys that are there.
+BLOOM = {"parquet.bloom.filter.enabled#row_key": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+
 # The cell tables, their families and each family's merge law.
 TABLE_FAMILIES = {
     "AIV": {"brand": SUM, "model": SUM, "system_version": SUM, "resolution": SUM,
@@ -189,23 +194,26 @@ def merge_all(deltas: DataFrame, families: dict | None = None, admin=True) -> Da
     UNION cells give one row per member, SKETCH cells their estimate.
     """
     laws = law_table(deltas.sparkSession, families)
-    sketches = _has_sketches(families if families is not None else TABLE_FAMILIES)
     # Tombstones carry no family, so resolve them before attaching laws.
     # The law table has one row per declared family: a fixed, small bound.
     d = live_rows(deltas, admin).join(F.broadcast(laws), ["tbl", "family"])
-    # SUM and LAST cells in one aggregation (one value per cell), UNION
-    # members in a second one (one row per member): two passes over the log.
+    # SUM and LAST cells in one aggregation (one value per cell), UNION members
+    # (one row per member) and sketches in others; only laws that are declared.
+    declared = {law for fams in (families if families is not None else TABLE_FAMILIES).values() for law in fams.values()}
     text = F.coalesce(F.col("text"), F.col("num").cast("string"))
-    one = (d.filter(F.col("law").isin(SUM, LAST)).groupBy(*CELL, "law")
-           .agg(F.sum("num").cast("bigint").alias("_s"), F.max_by(text, _order()).alias("_l"))
-           .select(*CELL, "law", F.when(F.col("law") == SUM, F.col("_s").cast("string"))
-                   .otherwise(F.col("_l")).alias("value")))
-    u = _union(d.filter(F.col("law") == UNION).drop("law"))
-    out = one.unionByName(u.select(*CELL, F.lit(UNION).alias("law"), F.col("member").alias("value")))
-    if sketches:
+    parts = []
+    if declared & {SUM, LAST} or not declared:
+        parts.append(d.filter(F.col("law").isin(SUM, LAST)).groupBy(*CELL, "law")
+                     .agg(F.sum("num").cast("bigint").alias("_s"), F.max_by(text, _order()).alias("_l"))
+                     .select(*CELL, "law", F.when(F.col("law") == SUM, F.col("_s").cast("string"))
+                             .otherwise(F.col("_l")).alias("value")))
+    if UNION in declared:
+        u = _union(d.filter(F.col("law") == UNION).drop("law"))
+        parts.append(u.select(*CELL, F.lit(UNION).alias("law"), F.col("member").alias("value")))
+    if SKETCH in declared:
         s = merge_sketch(d.filter(F.col("law") == SKETCH).drop("law"), admin=False)
-        out = out.unionByName(s.select(*CELL, F.lit(SKETCH).alias("law"), F.col("value").cast("string").alias("value")))
-    return out
+        parts.append(s.select(*CELL, F.lit(SKETCH).alias("law"), F.col("value").cast("string").alias("value")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _has_sketches(families: dict) -> bool:
@@ -397,8 +405,7 @@ class CellStore:
         d = self.log().filter(((F.col("batch_id") >= 0) & (F.col("batch_id") <= n)) |
                               ((F.col("batch_id") == -1) & (F.col("epoch") <= 2 * n + 1)))
         control = self._control(d)
-        cut = control.agg(F.max(F.struct("epoch", "seq")).alias("m")).first()["m"]
-        # no administrative row: nothing can hide another row, so no join is needed
+        cut = control.agg(F.max(F.struct("epoch", "seq")).alias("m")).first()["m"] if control else None
         live = live_rows(d.drop("batch_id"), admin=control if cut else False)
         cut = tuple(cut) if cut else (self._cut(prev) if prev is not None else (-1, -1))
         self.spark.createDataFrame([cut], "epoch long, seq long").coalesce(1).write.mode("overwrite").parquet(
@@ -430,7 +437,7 @@ class CellStore:
                 .withColumn("op", F.lit("add")).withColumn("batch_id", F.lit(n).cast("bigint"))
                 .select(*[f.name for f in LOG_SCHEMA.fields]))
         (snap.repartitionByRange("tbl", "row_key").sortWithinPartitions("tbl", "row_key")
-         .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("tbl")
+         .write.mode("overwrite").options(**BLOOM).option("partitionOverwriteMode", "static").partitionBy("tbl")
          .parquet(f"{self.snap_path}/upto={n}"))
         return n
 
@@ -479,7 +486,7 @@ class CellStore:
         # The writer owns the order: every row of batch n sorts after batch n-1.
         out = (as_deltas(deltas).withColumn("epoch", F.lit(2 * batch_id).cast("bigint"))
                .withColumn("batch_id", F.lit(batch_id).cast("bigint")))
-        (out.hint("rebalance", "tbl").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (out.hint("rebalance", "tbl").write.mode("overwrite").options(**BLOOM).option("partitionOverwriteMode", "dynamic")
          .partitionBy("tbl", "batch_id").parquet(self.delta_path))
         fs, p = self._fs(f"{self.mark_path}/{batch_id}")
         fs.create(p, True).close()
@@ -543,26 +550,33 @@ class CellStore:
         """
         fams = {tbl: self.families().get(tbl, {})}
         d = self.log(tbl)
-        m = merge_all(d.drop("batch_id"), fams, admin=self._control(d))
+        m = merge_all(d.drop("batch_id"), fams, admin=self._control(d, tbl))
         return m.drop("tbl")
 
-    @staticmethod
-    def _control(d: DataFrame) -> DataFrame:
-        # Administrative rows live only in batch_id=-1: partition pruning
-        # keeps the control tables from scanning the stream log.
+    def _control(self, d: DataFrame, tbl: str | None = None) -> DataFrame | bool:
+        """Administrative rows of ``d``, or False where there are none: then nothing can hide a row, and no join is needed.
+
+        They live only in ``batch_id=-1``: one listing tells whether there are any,
+        and partition pruning keeps the control tables from scanning the stream log.
+        """
+        tables = self._children(self.delta_path) if tbl is None else [f"tbl={tbl}"]
+        if not any(self._exists(f"{self.delta_path}/{t}/batch_id=-1") for t in tables):
+            return False
         return d.filter(F.col("batch_id") == -1).drop("batch_id")
 
     def get(self, tbl: str, row_key: str, family: str | None = None) -> DataFrame:
         """Cells of one row (optionally one family); an absent row is empty.
 
-        Snapshots are sorted by row key, so their scan skips all but one stretch.
+        Snapshots are sorted by row key, so their scan skips all but one stretch;
+        files of the log carry a bloom filter of their row keys, so those without
+        the row are skipped.
         """
         d = self.log(tbl).filter(F.col("row_key") == row_key)
         fams = self.families().get(tbl, {})
         if family is not None:
             d = d.filter(F.col("family").isNull() | (F.col("family") == family))
             fams = {family: fams[family]} if family in fams else {}
-        return merge_all(d.drop("batch_id"), {tbl: fams}, admin=self._control(d)).drop("tbl")
+        return merge_all(d.drop("batch_id"), {tbl: fams}, admin=self._control(d, tbl)).drop("tbl")
 
     def get_family_map(self, tbl: str, row_key: str, family: str) -> DataFrame:
         """One row holding the family as a ``qualifier -> value`` map.
