@@ -109,3 +109,12 @@ def test_top_k_odd_rows(spark):
     assert topk.op10(table.where("false")).collect() == []
     codes = {r.id: r.code for r in topk.sign_codes(table.where("vec_id is not null")).collect()}
     assert codes[0] == -1 and codes[2] == 0 and F.col("x") is not None
+
+
+def test_cover_tree_of_very_small_and_large_doubles(spark):
+    """Only directions count, also where squares over- or underflow."""
+    rows = [(0, [1e-200, 2e-200]), (1, [1.0, 0.01]), (2, [1e200, 2e200]), (3, [3e200, 6e200]), (4, [5e-324, 1e-323]),
+            (5, [1.0, 2.0]), (6, [1.7e308, 0.0]), (7, [1e-300, 1e-302])]
+    table = spark.createDataFrame([(i, v, 0) for i, v in rows], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in cover_tree.op9(table).collect()}
+    assert got == {**{i: (4, 0) for i in (0, 2, 3, 4, 5)}, **{i: (2, 1) for i in (1, 6, 7)}}
