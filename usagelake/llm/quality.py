@@ -63,6 +63,7 @@ def features(buf: np.ndarray, offsets: np.ndarray, bits: int = BITS):
     shapes = hash_spans(cls[fresh], at[starts], at[ends])
     again = np.zeros(len(words), np.uint64)
     again[1:] = words[1:] == words[:-1]
+    again[first[:-1][first[:-1] < len(words)]] = 0  # a document's first word repeats nothing
     parts = [*_ngrams(words, first, (1, 2, 3), 1, bits), *_ngrams(shapes, first, (1, 2, 3), 2, bits),
              *_ngrams(again, first, (1, 2, 3), 3, bits)]
     bucket = np.concatenate([p[0] for p in parts] or [np.zeros(0, np.int64)])
