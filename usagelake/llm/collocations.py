@@ -51,8 +51,8 @@ _END[list(PIECE_END)] = True
 _STOP = _END.copy()
 _STOP[list(WORD_GAP)] = True
 _TOKENS = "lang string, n long, words array<long>, shard int, part int"
-# 16 slots of documents in three parts: phrases are looked up in a small part first
-PART = [0] + [1] * 3 + [2] * 12
+# 64 slots of documents in parts of growing size: phrases are looked up in a small part first
+PART = [0] + [1] * 3 + [2] * 12 + [3] * 48
 
 
 def _words(buf: np.ndarray, off: np.ndarray, langs: list[str]):
@@ -248,7 +248,7 @@ def _structure(tokens: DataFrame, known, wanted, longest: int) -> DataFrame:
 def _resolved(tokens: DataFrame, frequent: DataFrame, known, size: int, longest: int) -> DataFrame:
     """``h, a, lang, pre, post`` of all frequent phrases of two words or more.
 
-    They are looked up in one sixteenth of the documents, those not found there in the next
+    They are looked up in a small part of the documents, those not found there in the next
     part, and so on, so a phrase is not reported by every task; the last part holds all the rest.
     """
     spark = tokens.sparkSession
