@@ -78,13 +78,13 @@ def test_cover_tree_odd_rows(spark):
 
 def plain_top(codes, queries, k):
     out = []
-    for q, c in queries:
+    for q, c in sorted(set(queries)):
         order = sorted((bin((c ^ d) & (1 << 64) - 1).count("1"), i) for i, d in codes if i != q)
         out += [(q, n + 1, i, d) for n, (d, i) in enumerate(order[:k])]
     return sorted(out)
 
 
-@pytest.mark.parametrize("kind", ["random", "clustered", "copies", "few"])
+@pytest.mark.parametrize("kind", ["random", "clustered", "copies", "few", "rows of one id", "ids of many codes"])
 def test_top_k_equals_brute_force(spark, kind):
     rng = np.random.default_rng(7)
     base = rng.integers(-(1 << 63), 1 << 63, 300, dtype=np.int64)
@@ -95,7 +95,12 @@ def test_top_k_equals_brute_force(spark, kind):
     if kind == "few":
         base = base[:6]
     codes = [(i, int(c)) for i, c in enumerate(base)]
-    queries = codes[::25] if kind != "few" else codes
+    if kind == "rows of one id":  # an id with more rows than an answer has, of one code and of its neighbours
+        codes = [(50, int(base[0]))] * 15 + [(51, int(base[0])), (52, int(base[0])), (53, int(base[1]))]
+        codes += [(54, int(base[0]) ^ 1)] * 12 + codes[-1:] * 3
+    if kind == "ids of many codes":
+        codes = [(i % 7, int(base[0]) ^ (1 << i % 60)) for i in range(200)] + codes[1:12]
+    queries = sorted(set(codes)) if kind in ("rows of one id", "ids of many codes") else codes[::25] if kind != "few" else codes
     got = topk.top_k(spark.createDataFrame(codes, "id long, code long"), spark.createDataFrame(queries, "id long, code long"))
     assert sorted((r.query_id, r.rank, r.id, r.distance) for r in got.collect()) == plain_top(codes, queries, topk.K)
 
