@@ -244,6 +244,9 @@ BODIES["batch_sink"] = f"""
       UNION ALL SELECT tbl, row_key, family, qualifier, 'UNION', member FROM ({BODIES['merge_union']})
       UNION ALL SELECT tbl, row_key, family, qualifier, 'LAST', value FROM ({BODIES['merge_last']})"""
 
+BODIES["cell_table_sql"] = f"""
+      SELECT row_key, family, qualifier, law, value FROM ({BODIES['batch_sink']}) WHERE tbl = 'SINGLE_APP'"""
+
 
 def sql_for(key: str) -> str:
     body = BODIES[key].strip()

@@ -17,8 +17,9 @@ from usagelake.session import shared_dir
 from usagelake.sources.fixture import table, usage_sessions
 from usagelake.sources.reports import read_report_lines, reports_encode
 from usagelake.streaming.cells import SKETCH, SUM, TABLE_FAMILIES, CellStore, as_deltas, merge_maps, sketch_deltas
-from usagelake.streaming.pipeline import process_batch, start_stream
+from usagelake.streaming.pipeline import process_batch, report_deltas, start_stream
 from usagelake.streaming.state import batch_status, read_sum_state, start_sum_state
+from usagelake.streaming.tables import add_cell_batch, create_cell_table
 
 ROW = "com.click.a1"
 
@@ -120,6 +121,17 @@ def table_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.scan("SINGLE_APP")
 
 
+def cell_table_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalog table of SUM, UNION and LAST cells read by SQL; its second batch is written twice."""
+    name = f"single_app_{uuid.uuid4().hex}"
+    create_cell_table(spark, name, TABLE_FAMILIES["SINGLE_APP"], shared_dir(spark, f"cell-table-{name}"), buckets=16)
+    reports = nest_reports(usage_sessions(spark, sf_dir))
+    for slot in (0, 1, 1):
+        deltas = report_deltas(reports.filter(F.col("ingest_seq") == slot))
+        add_cell_batch(spark, name, deltas.filter(F.col("tbl") == "SINGLE_APP"), slot)
+    return spark.sql(f"SELECT * FROM {name}_cells")
+
+
 def batch_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stream over report files that arrive in three parts: every cell of every table.
 
@@ -212,6 +224,7 @@ QUERIES = {
     "cell_delete_row": cell_delete_row,
     "table_create": table_create,
     "table_drop": table_drop,
+    "cell_table_sql": cell_table_sql,
     "batch_sink": batch_sink,
     "merge_maps": q_merge_maps,
     "app_daily_user_estimate": app_daily_user_estimate,
