@@ -113,8 +113,12 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
 
 
 def without_repeats(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """``docs`` (unique doc_id) with every repeated span cut but in the document that has it first."""
-    cuts = spans.where("doc_id <> first_doc_id").groupBy("doc_id").agg(
+    """``docs`` with every repeated span cut but in the document that has it first.
+
+    Rows that share a doc_id stay whole: their spans don't tell which of the rows they lie in.
+    """
+    shared = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
+    cuts = spans.where("doc_id <> first_doc_id").join(shared, "doc_id", "left_anti").groupBy("doc_id").agg(
         F.collect_list(F.struct("start_word", "end_word")).alias("_cuts"))
     names, at = docs.columns, docs.columns.index("text")
     joined = docs.join(cuts, "doc_id", "left").select(*names, "_cuts")
