@@ -289,24 +289,61 @@ def test_shared_seeds_are_those_of_several_documents(spark, monkeypatch):
         assert sorted((r.doc_id, r.pos) for r in chaining.shared_seeds(slices).collect()) == want
 
 
-def test_links_do_not_depend_on_partitions(spark, monkeypatch):
-    """Seeds of few documents join all of them, wherever a partition ends."""
+def test_links_join_all_documents(spark, monkeypatch):
+    """Rows of a key join all others whose document and label differ, in blocks as well."""
     rng = random.Random(6)
     rows = sorted({(rng.randrange(60), rng.randrange(chaining.RARE), rng.randrange(30)) for _ in range(1500)})
-    rows += [(99, d, 0) for d in range(40)]
+    rows += [(99, d, 0) for d in range(40)] + [(98, d, p) for d in range(50) for p in range(d % 3)]
+    label = lambda k, d: d % 7 if k == 98 else d
     places = {}
     for k, d, p in rows:
         places.setdefault(k, {}).setdefault(d, []).append(p)
-    want = set()
-    for docs in places.values():
-        order = sorted(docs)
-        for j, b in enumerate(order):
-            for a in order[:j] if len(order) <= chaining.RARE else {order[0], order[j - 1]} if j else ():
-                want |= {(a, b, docs[a][min(i, len(docs[a]) - 1)], y) for i, y in enumerate(docs[b])}
-    table = chaining._written(spark.createDataFrame(rows, "key long, doc_id long, pos long"), "seeds")
-    for size in (40, 500_000):
-        monkeypatch.setattr(neighbours, "ROWS_PER_PARTITION", size)
-        assert {tuple(r)[:4] for r in chaining.anchors(table).collect()} == want
+    want = {(a, b, x[min(i, len(x) - 1)], y[min(i, len(y) - 1)])
+            for k, docs in places.items() for a, x in docs.items() for b, y in docs.items()
+            if a < b and label(k, a) != label(k, b) for i in range(max(len(x), len(y)))}
+    table = chaining._written(spark.createDataFrame([(*r, 0, label(*r[:2])) for r in rows],
+                                                    "key long, doc_id long, pos long, hot int, label long"), "seeds")
+    for size in (7, 4096):
+        monkeypatch.setattr(chaining, "BLOCK", size)
+        got = [tuple(r)[:4] for r in chaining.anchors(table).collect()]
+        assert set(got) == want
+
+
+def test_frequent_seeds_hide_no_passage(spark, monkeypatch):
+    """Every seed of a passage is in more than RARE other documents, before and between the two that have all of it."""
+    monkeypatch.setattr(chaining, "RARE", 16)
+    rng = random.Random(9)
+    text = lambda n: [f"u{rng.getrandbits(50)}" for _ in range(n)]
+    shared = text(60)
+    edited = [w if i % 7 else "edit" for i, w in enumerate(shared)]
+    docs = {1000: text(20) + shared + text(20), 2000: text(30) + shared + text(10), 2500: text(9) + edited}
+    n = 0
+    for i in range(0, 51, 2):
+        for _ in range(chaining.RARE):
+            for base in (0, 1001):
+                docs[base + n] = text(40) + shared[i:i + 12] + text(40)
+            n += 1
+    got = {(r.doc_id, r.other_id): r.matched for r in chaining.op5(_table(spark, docs)).collect()}
+    assert got == {(2000, 1000): 60, (2500, 1000): 51, (2500, 2000): 51}
+
+
+def test_passages_of_one_class_are_linked_with_its_first(spark, monkeypatch):
+    """An equal passage of many documents joins each with the first; another one in two of them is found as well."""
+    monkeypatch.setattr(chaining, "RARE", 16)
+    rng = random.Random(10)
+    text = lambda n: [f"u{rng.getrandbits(50)}" for _ in range(n)]
+    common, line = text(70), text(12)
+    docs = {k: text(60) + common + text(5) for k in range(40)}
+    for k in range(100, 140):
+        docs[k] = text(50) + line + text(50)
+    near = text(45)
+    docs[117] = text(20) + near[:20] + line + near[20:] + text(20)
+    docs[131] = text(50) + near[:20] + line + near[20:30] + ["x"] + near[31:]
+    other = text(30) + line + text(30)
+    docs[25] += text(60) + other
+    docs[31] += text(70) + other
+    got = {(r.doc_id, r.other_id, r.start_word, r.end_word) for r in chaining.op5(_table(spark, docs)).collect()}
+    assert got == {(k, 0, 60, 130) for k in range(1, 40)} | {(131, 117, 50, 107), (31, 25, 205, 277)}
 
 
 def test_copies_are_one_document(spark):
