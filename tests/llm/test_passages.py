@@ -355,3 +355,44 @@ def test_copies_are_one_document(spark):
     got = sorted((r.doc_id, r.other_id, r.start_word, r.end_word, r.matched) for r in chaining.op5(table).collect())
     assert [g for g in got if g[4] == 80] == [(6, 5, 0, 80, 80), (9, 5, 0, 80, 80)]
     assert {g[:2] for g in got} == {(5, 3), (7, 3), (7, 5), (6, 5), (9, 5)}
+
+
+def test_words_near_a_seed_are_the_rarest_of_a_window():
+    """Words of a frequent line, more frequent than those around it, make no keys though they are next to the seed."""
+    rng = np.random.default_rng(7)
+    hashes = rng.integers(0, 1 << 63, 60).astype(np.uint64) * np.uint64(2)
+    for n in (49, 50, 51, 90, 140):
+        h = hashes[rng.integers(0, len(hashes), n)]
+        order = rng.permutation(1 << chaining.ORDER_BITS).astype(np.int32)
+        rank = order[h >> np.uint64(64 - chaining.ORDER_BITS)]
+        pos = np.unique(rng.integers(0, n - 3, 5))
+        key = rng.integers(0, 1 << 62, len(pos))
+        want, most = set(), set()
+        for i, q in enumerate(pos):
+            for s in range(max(0, q - 46), min(q, n - 50) + 1):
+                others = [p for p in range(s, s + 50) if not q <= p < q + 4]
+                for p in others:
+                    rarer = sum(rank[x] < rank[p] for x in others)
+                    near = int(chaining.mix(key[i:i + 1].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + h[p:p + 1])[0]), i
+                    if rarer < 11:
+                        want.add(near)
+                    if rarer < 15:
+                        most.add(near)
+        keys, rows = chaining._with_words(h, key, pos, order)
+        assert want <= set(zip(keys.tolist(), rows.tolist())) <= most
+    # a line of 16 words ranked last, its seed at its sixth word
+    h = (np.arange(1, 101, dtype=np.uint64) << np.uint64(48))
+    order = np.zeros(1 << chaining.ORDER_BITS, np.int32)
+    order[1:101] = np.where((np.arange(100) >= 40) & (np.arange(100) < 56), 1000 + np.arange(100), np.arange(100))
+    keys, _ = chaining._with_words(h, np.array([5]), np.array([45]), order)
+    line = chaining.mix(np.uint64(5) * np.uint64(0x9E3779B97F4A7C15) + h[40:56])
+    assert len(keys) and not set(keys.tolist()) & set(line.tolist())
+
+
+def test_single_links_side_by_side_are_one_chain(spark):
+    """A word run of one document against many places of another: one chain for every 14 words, not one a link."""
+    rows = [(1, 2, 100 + i, 30, 7) for i in range(140)] + [(1, 3, 10, 20, 7), (1, 3, 300, 20, 7)]
+    got = chaining.candidates(spark.createDataFrame(rows, chaining._LINKS)).collect()
+    a = sorted(r.a0 for r in got if r.doc_b == 2)
+    assert len(a) <= 11 and all(any(abs(x - p) < 14 for p in a) for x in range(100, 240))
+    assert sorted(r.a0 for r in got if r.doc_b == 3) == [10, 300]
