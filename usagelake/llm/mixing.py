@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from usagelake.llm.common import staged
+from usagelake.llm.common import staged, word_count
 
 WORD = r"[^\x20\x09-\x0D]+"
 SEED = 17
@@ -83,7 +83,7 @@ def with_leaf(docs: DataFrame) -> DataFrame:
     return docs.select(
         F.struct(*docs.columns).alias("doc"), "doc_id", domain_of(source).alias("_domain"), lang.alias("_lang"),
         source.alias("_source"),
-        F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long").alias("_tokens"))
+        F.coalesce(word_count(F.col("text")), F.lit(0)).cast("long").alias("_tokens"))
 
 
 def order_key(epoch: Column, seed: int) -> Column:
